@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quillspark.llm import packing, tokens
+from quillspark.llm import packing, residue, splitting, tokens
 from quillspark.sources.tables import table
 
 CAPACITY = 2048
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_pieces(spark, folder).select("seg_uid").distinct()
+
+
+def p6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.split_segments(table(spark, folder, "segment_entries"), limit=2048, overlap=128)
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
@@ -24,5 +31,13 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.container_fill(p8_containers(spark, folder), CAPACITY)
 
 
-QUERIES = {"p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_residue(spark, folder).select("doc_id").distinct()
+
+
+def p9_residue(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.find_residue(table(spark, folder, "documents"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p9_found": p9_found, "p9_residue": p9_residue, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
 ORACLES: dict[str, str] = {}
