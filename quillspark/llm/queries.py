@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import packing, residue, splitting, tokens
+from quillspark.llm import matching, packing, residue, splitting, tokens
 from quillspark.sources.tables import table
 
 CAPACITY = 2048
 
 
+def _works(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return matching.match_works(*(table(spark, folder, f"{x}_results") for x in ("openalex", "arxiv", "pubmed", "web")))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows, _, classes = _works(spark, folder)
+    return matching.work_pairs(rows, classes)
+
+
+def p1_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between the sources' entities, each with its confidence."""
+    return _works(spark, folder)[1]
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_pieces(spark, folder).select("seg_uid").distinct()
 
@@ -39,5 +53,5 @@ def p9_residue(spark: SparkSession, folder: str) -> DataFrame:
     return residue.find_residue(table(spark, folder, "documents"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p9_found": p9_found, "p9_residue": p9_residue, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
+QUERIES = {"p1_found": p1_found, "p1_links": p1_links, "p6_found": p6_found, "p6_pieces": p6_pieces, "p9_found": p9_found, "p9_residue": p9_residue, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
 ORACLES: dict[str, str] = {}
