@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import matching, packing, residue, splitting, survivor, tokens
+from quillspark.llm import matching, names, packing, residue, splitting, survivor, tokens
 from quillspark.sources.tables import table
 
 CAPACITY = 2048
@@ -24,6 +24,15 @@ def p1_links(spark: SparkSession, folder: str) -> DataFrame:
     return _works(spark, folder)[1]
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.name_pairs(p2_names(spark, folder))
+
+
+def p2_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Every spelling with its class."""
+    return names.link_names(names.spellings(*(table(spark, folder, f"{x}_results") for x in ("openalex", "pubmed", "zotero"))))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_survivors(spark, folder).select("src_table", "group_key", "rec_id")
 
@@ -61,5 +70,5 @@ def p9_residue(spark: SparkSession, folder: str) -> DataFrame:
     return residue.find_residue(table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_links": p1_links, "p3_found": p3_found, "p3_survivors": p3_survivors, "p6_found": p6_found, "p6_pieces": p6_pieces, "p9_found": p9_found, "p9_residue": p9_residue, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
+QUERIES = {"p1_found": p1_found, "p1_links": p1_links, "p2_found": p2_found, "p2_names": p2_names, "p3_found": p3_found, "p3_survivors": p3_survivors, "p6_found": p6_found, "p6_pieces": p6_pieces, "p9_found": p9_found, "p9_residue": p9_residue, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
 ORACLES: dict[str, str] = {}
