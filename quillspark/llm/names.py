@@ -146,6 +146,13 @@ def deletions(word: Column) -> Column:
     )
 
 
+def one_edit(a: Column, b: Column) -> Column:
+    """One letter put in, left out or replaced, or two neighbours exchanged. Two words share a form without
+    one letter in a few other cases too."""
+    apart = F.levenshtein(a, b)
+    return (apart <= 1) | ((apart == 2) & (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))))
+
+
 def link_names(names: DataFrame) -> DataFrame:
     """name, person (a class id) for every name of `names` (column name, distinct) that can be parsed.
 
@@ -175,9 +182,9 @@ def link_names(names: DataFrame) -> DataFrame:
     def close(df: DataFrame, same: str) -> DataFrame:
         at = df.select("person", "tokens", same, F.posexplode("tokens").alias("_i", "_t"))
         rest = _key(F.array_sort(F.transform(F.filter(F.col("tokens"), lambda t, k: k != F.col("_i")), lambda t: t)))
-        keyed = at.where((F.length("_t") >= 3) & (F.length(rest) >= 3)).withColumn("_d", F.explode(deletions(F.col("_t")))).select("person", F.col(same).alias("same"), F.concat_ws("|", rest, "_d").alias("form"))
+        keyed = at.where((F.length("_t") >= 3) & (F.length(rest) >= 3)).withColumn("_d", F.explode(deletions(F.col("_t")))).select("person", F.col(same).alias("same"), "_t", F.concat_ws("|", rest, "_d").alias("form"))
         x, y = keyed.alias("x"), keyed.alias("y")
-        return x.join(y, (F.col("x.form") == F.col("y.form")) & (F.col("x.person") < F.col("y.person"))).select(F.col("x.person").alias("a"), F.col("y.person").alias("b"), F.col("x.same").alias("sa"), F.col("y.same").alias("sb")).distinct()
+        return x.join(y, (F.col("x.form") == F.col("y.form")) & (F.col("x.person") < F.col("y.person")) & one_edit(F.col("x._t"), F.col("y._t"))).select(F.col("x.person").alias("a"), F.col("y.person").alias("b"), F.col("x.same").alias("sa"), F.col("y.same").alias("sb")).distinct()
 
     pairs = close(people, "middle").where(_agree(F.col("sa"), F.col("sb")))
     group_people = group.groupBy("person", "form").agg(F.first("tokens").alias("tokens"))
@@ -199,10 +206,10 @@ def link_names(names: DataFrame) -> DataFrame:
     meant = met.groupBy("family", "initials").agg(F.count(F.lit(1)).alias("_n"), F.max("person").alias("person"))
     # one letter off: an abbreviation that no full name has, by its family name's deletion forms
     stray = abbreviations.join(meant, ["family", "initials"], "left_anti").where(F.length("family") >= 6)
-    near_fits = (F.col("a.form") == F.col("f.form")) & fits_initials("a.initials", "f.full_initials", "f.has_middle")
+    near_fits = (F.col("a.form") == F.col("f.form")) & one_edit(F.col("a.family"), F.col("f.family")) & fits_initials("a.initials", "f.full_initials", "f.has_middle")
     near = (
         stray.select("family", "initials", F.explode(deletions(F.col("family"))).alias("form")).alias("a")
-        .join(forms.where(F.length("family") >= 6).select("person", "full_initials", "has_middle", F.explode(deletions(F.col("family"))).alias("form")).alias("f"), near_fits)
+        .join(forms.where(F.length("family") >= 6).select("person", "family", "full_initials", "has_middle", F.explode(deletions(F.col("family"))).alias("form")).alias("f"), near_fits)
         .select("a.family", "a.initials", "f.person").distinct()
         .groupBy("family", "initials").agg(F.count(F.lit(1)).alias("_n"), F.max("person").alias("person"))
     )
