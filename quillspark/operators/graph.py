@@ -35,3 +35,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     else:
         raise RuntimeError(f"not contracted after {most_rounds} rounds")
     return nodes.join(links.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def hop_distances(edges: DataFrame, seeds: DataFrame, most_hops: int = 64) -> DataFrame:
+    """node, distance: least hops from any seed (column node) along undirected edges (columns a, b).
+
+    A frontier loop: each round joins only the newest nodes to the edges and drops those seen before.
+    Unreachable nodes have no row; seeds have distance 0 whether or not they have edges. Ends when a round
+    finds nothing new, or after most_hops rounds.
+    """
+    links = cut(edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct())
+    seen = cut(seeds.select("node").where("node IS NOT NULL").distinct().withColumn("distance", F.lit(0)))
+    frontier = seen
+    for hop in range(1, most_hops + 1):
+        frontier = cut(frontier.join(links, F.col("node") == F.col("u")).select(F.col("v").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("distance", F.lit(hop)))
+        if not frontier.limit(1).count():
+            break
+        seen = seen.unionByName(frontier)
+    return seen
