@@ -101,14 +101,17 @@ FAULT = regex.compile(r"(?s)<fault>.{0,200}</fault>|<Error>\s*<Code>.{0,200}</Er
 #: A line with one of these reports on messages; it isn't one.
 REPORTS = regex.compile(r"\b(?:we (?:therefore|removed|call|kept|followed|dropped)|were (?:retried|dropped|coded|removed)|answered with|modelled|the log line|crawler|of the sample|in the margin|is treated as|participants|coders)\b", regex.I)
 TAGS = regex.compile(r"</?[a-zA-Z][a-zA-Z0-9]*(?:\s[^<>\n]*)?/?>")
-#: Texts without any of these have nothing to look for.
-TRIGGERS = (
-    "{{ {% <% ${ %( @@ [[ __ « &lt; $$ <! [object undefined nan [insert [your [enter [add [fill [type goes here] (add (insert (fill todo: fixme: tbd xxxx placeholder dummy {0 {1 {2 "
-    "lorem ipsum sample_text to_follow coming_soon click_to click_here text_here text_goes replace_this to_be_ blindtext hier_steht remplissage relleno ejemplo próximamente à_venir inhalt_folgt 内容即将 此处 示例文本 "
-    "script cookie browser navegador navigateur 浏览器 启用 开启 正在 blocker loading robot human moment verif aktivieren activ habilite no_preview turn_it_on "
-    "not_found bad_request forbidden gone unauthor gateway unavailable server too_many http erreur error fehler introuvable encontrada gefunden 找不到 denied denegado refusé verweigert 拒绝 you_asked you_requested looking_for available in_your request_was request_has session rate_limit took_too maintenance "
+#: Texts without any of these have nothing to look for; `_` stands for a blank.
+TRIGGERS = [
+    w if w == "__" else w.replace("_", " ")
+    for w in (
+        "{{ {% <% ${ %( @@ [[ __ « &lt; $$ <! [object undefined nan [insert [your [enter [add [fill [type goes here] (add (insert (fill todo: fixme: tbd xxxx placeholder dummy {0 {1 {2 "
+        "lorem ipsum sample_text to_follow coming_soon click_to click_here text_here text_goes replace_this to_be_ blindtext hier_steht remplissage relleno ejemplo próximamente à_venir inhalt_folgt 内容即将 此处 示例文本 "
+        "script cookie browser navegador navigateur 浏览器 启用 开启 正在 blocker loading robot human moment verif aktivieren activ habilite no_preview turn_it_on "
+        "not_found bad_request forbidden gone unauthor gateway unavailable server too_many http erreur error fehler introuvable encontrada gefunden 找不到 denied denegado refusé verweigert 拒绝 you_asked you_requested looking_for available in_your request_was request_has session rate_limit took_too maintenance "
     "can't_ cannot_ could_not unable_to failed fatal traceback nosuch exception nothing_here subscription limit permission log_in sign_in timed_out refused 服务器 不可用 serveur servicio dienst fault>"
-).replace(" ", "\n").replace("_", " ").replace("\n \n", "\n__\n").split("\n")
+    ).split()
+]
 
 
 @functools.lru_cache(maxsize=1)
