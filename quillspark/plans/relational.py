@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import ids, scoring
 from quillspark.functions.text import clean_text
 from quillspark.operators import documents as docs_
+from quillspark.operators import review
 from quillspark.operators import tabular as tab
 from quillspark.operators.graph import connected_components, hop_distances
 from quillspark.plans import discovery
@@ -385,3 +386,73 @@ def shared_tags(spark: SparkSession, folder: str) -> DataFrame:
 def bibtex_entries(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "pubmed_results").where(F.col("title").isNotNull() & F.col("pubdate").isNotNull() & ~F.col("title").rlike(r"[^\x00-\x7F]"))
     return p.select("rec_id", F.concat(F.lit("@article{"), "uid", F.lit(", title={"), clean_text(F.col("title")), F.lit("}, year={"), F.regexp_extract("pubdate", "((?:19|20)[0-9]{2})", 1), F.lit("}}")).alias("entry"))
+
+
+@query(
+    r"""SELECT doc_id, len(regexp_extract_all(text, '(?is)<nav(?:\s[^>]*)?>.*?</nav>|<header(?:\s[^>]*)?>.*?</header>|<footer(?:\s[^>]*)?>.*?</footer>|<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>|<aside(?:\s[^>]*)?>.*?</aside>')) AS removed FROM documents WHERE text IS NOT NULL"""
+)
+def html_chrome(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "documents").where("text IS NOT NULL")
+    return d.select("doc_id", *review.without_chrome(F.col("text"))).select("doc_id", "removed")
+
+
+@query(
+    r"""SELECT doc_id, technique FROM documents, (VALUES ('induction', '\binduction\b'), ('contradiction', 'by contradiction|contradicts'), ('coupling', '\bcoupling\b'), ('concentration', 'concentration inequalit|\bhoeffding\b|\bbernstein\b'), ('chaining', '\bchaining\b'), ('taylor expansion', 'taylor'), ('minimax', '\bminimax\b'),
+    ('symmetrization', 'symmetri[sz]ation'), ('union bound', 'union bound'), ('fixed point', 'fixed[- ]point')) t(technique, p) WHERE text IS NOT NULL AND regexp_matches(lower(text), p)"""
+)
+def proof_techniques(spark: SparkSession, folder: str) -> DataFrame:
+    return review.technique_hits(table(spark, folder, "documents").where("text IS NOT NULL"), "doc_id", "text")
+
+
+@query()
+def notation_uses(spark: SparkSession, folder: str) -> DataFrame:
+    return review.notation(table(spark, folder, "documents").where("text IS NOT NULL"), "doc_id", F.col("text"))
+
+
+@query(
+    """WITH s AS (SELECT cite_key, seg_uid, strlen(body) AS sz, row_number() OVER w AS pos, lead(seg_uid) OVER w AS nxt FROM segment_entries WINDOW w AS (PARTITION BY cite_key ORDER BY seg_uid)), m AS (SELECT *, coalesce(sz < 300, true) AS small FROM s),
+    i AS (SELECT *, pos - sum(CASE WHEN small THEN 1 ELSE 0 END) OVER (PARTITION BY cite_key ORDER BY seg_uid) AS island FROM m), r AS (SELECT *, row_number() OVER (PARTITION BY cite_key, island, small ORDER BY seg_uid) AS rin, count(*) OVER (PARTITION BY cite_key, island, small) AS rof FROM i),
+    a AS (SELECT *, CASE WHEN sz > 4096 THEN 'split' WHEN small AND rin % 2 = 1 AND rin < rof THEN 'merge' WHEN small AND rin % 2 = 1 THEN 'rebalance' END AS action FROM r)
+    SELECT cite_key, seg_uid, action, CASE WHEN action <> 'split' THEN nxt END AS partner FROM a WHERE action IS NOT NULL"""
+)
+def reseg_plan(spark: SparkSession, folder: str) -> DataFrame:
+    return review.resegmentation(table(spark, folder, "segment_entries"), "cite_key", "seg_uid", F.octet_length("body"), 4096, 300)
+
+
+@query(
+    """WITH o AS (SELECT c_custkey AS k, c_mktsegment AS a, c_nationkey AS b FROM customer WHERE c_custkey % 5 <> 0), n AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS a, c_nationkey AS b FROM customer WHERE c_custkey % 3 <> 0)
+    SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'updated' END AS change FROM o FULL OUTER JOIN n ON o.k = n.k WHERE o.k IS NULL OR n.k IS NULL OR o.a <> n.a OR o.b <> n.b"""
+)
+def catalog_diff(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("a"), F.col("c_nationkey").alias("b"))
+    new = c.where("k % 3 <> 0").withColumn("a", F.when(F.col("k") % 7 == 0, "CHANGED").otherwise(F.col("a")))
+    return review.catalog_difference(c.where("k % 5 <> 0"), new, "k", ["a", "b"])
+
+
+@query()
+def small_merge(spark: SparkSession, folder: str) -> DataFrame:
+    return review.merge_small_segments(table(spark, folder, "segment_entries"), "cite_key", "seg_uid", F.octet_length("body"))
+
+
+@query()
+def balanced_split(spark: SparkSession, folder: str) -> DataFrame:
+    parts = review.split_oversized(table(spark, folder, "segment_entries").where("body IS NOT NULL"), "seg_uid", "body")
+    return parts.select("seg_uid", "part", F.octet_length("body").alias("bytes"))
+
+
+@query(
+    """WITH r(section_type, reader) AS (VALUES ('introduction', 'intro'), ('method', 'method'), ('theory', 'theory'), ('appendix', 'appendix')), p AS (SELECT DISTINCT section_type FROM segment_entries WHERE coalesce(comprehension_status, 'pending') = 'pending'),
+    n AS (SELECT section_type, seg_uid, row_number() OVER (PARTITION BY section_type ORDER BY seg_uid) AS rn FROM segment_entries) SELECT reader, p.section_type, seg_uid AS note_id FROM p JOIN r ON p.section_type = r.section_type LEFT JOIN n ON n.section_type = p.section_type AND rn <= 3"""
+)
+def reader_routes(spark: SparkSession, folder: str) -> DataFrame:
+    s = table(spark, folder, "segment_entries")
+    routes = {"introduction": "intro", "method": "method", "theory": "theory", "appendix": "appendix"}
+    return review.reader_routes(s.select("section_type", F.col("comprehension_status").alias("status")), s.select(F.col("seg_uid").alias("note_id"), "section_type"), routes)
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey % 50 AS DOUBLE) ELSE (c_custkey % 50) * 1000.0 END AS cap FROM customer"""
+)
+def market_caps(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.concat(F.lit("about "), (F.col("c_custkey") % 50).cast("string"), F.when(F.col("c_custkey") % 2 == 0, " bn").otherwise("T"))
+    return table(spark, folder, "customer").select("c_custkey", review.market_cap(text).alias("cap"))
