@@ -71,4 +71,7 @@ def p9_residue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_links": p1_links, "p2_found": p2_found, "p2_names": p2_names, "p3_found": p3_found, "p3_survivors": p3_survivors, "p6_found": p6_found, "p6_pieces": p6_pieces, "p9_found": p9_found, "p9_residue": p9_residue, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p6_found": """SELECT seg_uid FROM (SELECT seg_uid, body, row_number() OVER (PARTITION BY cite_key, id ORDER BY updated_at DESC NULLS LAST, seg_uid DESC) AS rn FROM segment_entries) t
+    WHERE rn = 1 AND floor(length(body) / 4) > 2048""",
+}
