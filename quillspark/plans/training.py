@@ -26,4 +26,14 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p5_report": p5_report}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p4_found": r"""WITH RECURSIVE parsed AS (SELECT catalog_id, json(sections) AS j FROM paper_catalogs WHERE json_valid(sections)),
+lists AS (SELECT catalog_id, CASE WHEN json_type(j) = 'OBJECT' AND json_exists(j, '$.sections') THEN json_extract(j, '$.sections') ELSE j END AS l FROM parsed),
+nodes AS (SELECT catalog_id, CAST(i AS VARCHAR) AS node_path, '' AS parent_path, CASE WHEN json_type(l) = 'ARRAY' THEN json_extract(l, '$[' || (i - 1) || ']') ELSE l END AS node
+    FROM (SELECT catalog_id, l, unnest(range(1, CASE WHEN json_type(l) = 'ARRAY' THEN CAST(json_array_length(l) AS BIGINT) WHEN json_type(l) = 'OBJECT' THEN 1 ELSE 0 END + 1)) AS i FROM lists) a
+    UNION ALL SELECT catalog_id, node_path || '.' || i, node_path, CASE WHEN json_type(c) = 'ARRAY' THEN json_extract(c, '$[' || (i - 1) || ']') ELSE c END
+    FROM (SELECT catalog_id, node_path, c, unnest(range(1, CASE WHEN json_type(c) = 'ARRAY' THEN CAST(json_array_length(c) AS BIGINT) WHEN json_type(c) = 'OBJECT' THEN 1 ELSE 0 END + 1)) AS i FROM (SELECT catalog_id, node_path, json_extract(node, '$.children') AS c FROM nodes WHERE json_type(node) = 'OBJECT') b) d)
+SELECT 'paper_catalogs' AS src_table, catalog_id AS src_id, 'sections' AS field_name, node_path, parent_path, coalesce(trim(json_extract_string(node, '$.id'), chr(32) || chr(9) || chr(10) || chr(13)), '') AS item_value FROM nodes WHERE json_type(node) = 'OBJECT'
+UNION ALL SELECT 'openalex_results', rec_id, 'referenced_works', CAST(i AS VARCHAR), '', x FROM (SELECT rec_id, unnest(referenced_works) AS x, generate_subscripts(referenced_works, 1) AS i FROM openalex_results) r WHERE x IS NOT NULL
+UNION ALL SELECT 'openalex_results', rec_id, 'authorships', CAST(i AS VARCHAR), '', x.author.display_name FROM (SELECT rec_id, unnest(authorships) AS x, generate_subscripts(authorships, 1) AS i FROM openalex_results) r WHERE trim(coalesce(x.author.display_name, '')) <> ''"""
+}
