@@ -24,7 +24,7 @@ from quillspark.session import cut
 NICKNAMES = {
     short: full
     for full, shorts in {
-        "abigail": "abby abbie gail", "alexander": "alex sandy", "andrew": "andy drew", "anthony": "tony", "benjamin": "ben benny", "catherine": "cathy cate", "charles": "charlie chuck", "christopher": "chris kit", "constance": "connie", "daniel": "dan danny",
+        "abigail": "abby abbie gail", "alexander": "alex sandy sasha", "andrew": "andy drew", "anthony": "tony", "benjamin": "ben benny", "catherine": "cathy cate", "charles": "charlie chuck", "christopher": "chris kit", "constance": "connie", "daniel": "dan danny",
         "deborah": "deb debbie debby", "david": "dave", "donald": "don", "edward": "ed eddie ned", "elizabeth": "liz lizzie beth betsy betty eliza", "frederick": "fred freddie freddy", "gabriella": "gabby gabi gaby ella", "gwendolyn": "gwen", "isabella": "bella izzy isa", "james": "jim jimmy jamie",
         "jennifer": "jen jenny jenn", "jonathan": "jon jonny", "joseph": "joe joey", "josephine": "jo josie", "katherine": "kate kathy katie kat", "kenneth": "ken kenny", "leonard": "len lenny leo", "margaret": "maggie meg peggy", "matthew": "matt", "michael": "mike mick mickey",
         "nicholas": "nick nicky", "patricia": "pat patty trish tricia", "philippa": "pippa", "philip": "phil", "rebecca": "becky becca", "richard": "rick dick rich", "robert": "rob bob bobby robbie bert", "samuel": "sam sammy", "stephanie": "steph steffi", "steven": "steve",
@@ -34,7 +34,7 @@ NICKNAMES = {
 }
 #: Legal and organisational forms, and their abbreviations.
 FORMS = {
-    "consortium": "consortium", "consort": "consortium", "group": "group", "grp": "group", "gp": "group", "network": "network", "netw": "network", "collaboration": "collaboration", "collab": "collaboration", "collaborative": "collaboration", "collaborators": "collaboration", "investigators": "investigators",
+    "consortium": "consortium", "consort": "consortium", "group": "group", "grp": "group", "gp": "group", "network": "network", "netw": "network", "collaboration": "collaboration", "collab": "collaboration", "collaborative": "collaboration", "collaborators": "collaboration", "investigators": "investigators", "investigator": "investigators", "invest": "investigators",
     "committee": "committee", "team": "team", "initiative": "initiative", "institute": "institute", "inst": "institute", "university": "university", "univ": "university", "society": "society", "association": "association", "assoc": "association", "inc": "inc", "incorporated": "inc", "ltd": "ltd", "limited": "ltd",
     "corp": "corp", "corporation": "corp", "gmbh": "gmbh", "consortia": "consortium", "project": "project", "registry": "registry", "alliance": "alliance", "taskforce": "taskforce",
 }
@@ -46,10 +46,10 @@ STROKES = str.maketrans({**STROKED, **DOUBLED})
 
 
 def plain(text: str) -> str:
-    """Lower-case letters without marks; ae, oe and ue as the single letters they stand for."""
+    """Lower-case letters without marks; in longer words oe is o, as ö and ø are often written."""
     folded = unicodedata.normalize("NFKD", text.lower().translate(STROKES))
     folded = regex.sub(r"\p{M}|['’`]", "", folded)
-    return regex.sub(r"([aou])e", r"\1", folded)
+    return folded.replace("oe", "o") if len(folded) >= 6 else folded
 
 
 GIVEN = {plain(short): plain(full) for short, full in NICKNAMES.items()}
@@ -179,24 +179,24 @@ def link_names(names: DataFrame) -> DataFrame:
     people = full.groupBy("person", "key", "middle").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("spellings")).join(ordered, "key", "left")
 
     # full names and groups one letter apart
-    def close(df: DataFrame, same: str) -> DataFrame:
+    def close(df: DataFrame, same: str, least: int) -> DataFrame:
         at = df.select("person", "tokens", same, F.posexplode("tokens").alias("_i", "_t"))
         rest = _key(F.array_sort(F.transform(F.filter(F.col("tokens"), lambda t, k: k != F.col("_i")), lambda t: t)))
-        keyed = at.where((F.length("_t") >= 3) & (F.length(rest) >= 3)).withColumn("_d", F.explode(deletions(F.col("_t")))).select("person", F.col(same).alias("same"), "_t", F.concat_ws("|", rest, "_d").alias("form"))
+        keyed = at.where((F.length("_t") >= 2) & (F.length(rest) >= least)).withColumn("_d", F.explode(deletions(F.col("_t")))).select("person", F.col(same).alias("same"), "_t", F.concat_ws("|", rest, "_d").alias("form"))
         x, y = keyed.alias("x"), keyed.alias("y")
         return x.join(y, (F.col("x.form") == F.col("y.form")) & (F.col("x.person") < F.col("y.person")) & one_edit(F.col("x._t"), F.col("y._t"))).select(F.col("x.person").alias("a"), F.col("y.person").alias("b"), F.col("x.same").alias("sa"), F.col("y.same").alias("sb")).distinct()
 
-    pairs = close(people, "middle").where(_agree(F.col("sa"), F.col("sb")))
+    pairs = close(people, "middle", 3).where(_agree(F.col("sa"), F.col("sb")))
     group_people = group.groupBy("person", "form").agg(F.first("tokens").alias("tokens"))
-    pairs = cut(pairs.unionByName(close(group_people, "form").where("sa = sb")))
+    pairs = cut(pairs.unionByName(close(group_people, "form", 0).where("sa = sb")))
     links = pairs.select("a", "b")
     classes = connected_components(links).select(F.col("node").alias("person"), "component")
     person_class = lambda df: df.join(classes, "person", "left").withColumn("person", F.coalesce("component", "person")).drop("component")
-    # abbreviations of every person: the known given tokens, else each token in turn
-    givens = F.when(F.col("known").isNotNull(), F.array("known")).otherwise(F.transform("tokens", lambda t: F.array(t)))
+    # abbreviations of every person: the known given tokens, else each token, and all but each, in turn
+    givens = F.when(F.col("known").isNotNull(), F.array("known")).otherwise(F.concat(F.transform("tokens", lambda t: F.array(t)), F.transform("tokens", lambda t: F.array_except("tokens", F.array(t)))))
     letters = F.array_join(F.transform("given", lambda g: F.substring(g, 1, 1)), "")
     forms = people.select("person", "tokens", "middle", F.explode(givens).alias("given")).select(
-        "person", _key(F.array_sort(F.array_except("tokens", "given"))).alias("family"), F.explode(F.array_distinct(F.array(F.concat(letters, "middle"), F.concat(F.substring(letters, 1, 1), "middle")))).alias("full_initials"), (F.col("middle") != "").alias("has_middle")
+        "person", _key(F.array_sort(F.array_except("tokens", "given"))).alias("family"), F.explode(F.array_distinct(F.concat(F.array(F.concat(letters, "middle")), F.transform("given", lambda g: F.concat(F.substring(g, 1, 1), F.col("middle")))))).alias("full_initials"), (F.col("middle") != "").alias("has_middle")
     ).where("family != ''")
     # counted by class: a name and its misspelling are one meaning
     forms = cut(person_class(forms).distinct())
