@@ -68,7 +68,9 @@ FILLER = regex.compile(
     regex.I,
 )
 #: One word, and one sentence, over and over.
-STUTTER = regex.compile(r"\b([a-z]{2,12})\b(?:[\s,.]+\1\b){6,}")
+STUTTER = regex.compile(r"\b([a-z]{2,12})\b(?:[\s,.]+\1\b){6,}|\bx{3,}(?:\s+x{3,}\b){3,}")
+#: What hands type that write nothing.
+MASH = frozenset("asdf asdfg asdfgh jkl jklö sdf qwer qwert qwerty zxcv zxcvb foo bar baz qux test blah bla xxx".split())
 LEAST_REPEATS = 4
 NOTICE = regex.compile(
     r"(?:(?:please |you (?:need|have) to |you must |to [^.\n]{3,60}, (?:please |you (?:need|have) to )?)?(?:enable|activate|allow|turn on|switch on|accept)\b[^.\n\"]{0,40}?\b(?:java ?scripts?|scripts?|scripting|cookies)\b(?=[^\"”]*$|[^\"”]*[.!])|"
@@ -94,7 +96,10 @@ ERROR = regex.compile(
     rf"(?:sorry, |oops[!,.]? )?we (?:can ?not|can't|could not|couldn't|are unable to|were unable to) (?:find|retrieve|locate|load|open|display|show|serve|process) (?:{THING}|your request)|"
     rf"(?:unable|failed) to (?:open|load|retrieve|display|connect|fetch|render)\b|download (?:failed|error)\b|could not (?:connect|open|load|resolve)\b|fatal(?: error)?: |(?:uncaught |unhandled )?(?:type|reference|syntax|runtime)?(?:error|exception): |traceback \(most recent|nosuch(?:key|bucket)\b|(?:key|value|type|name|index|attribute|import|runtime|os|io|connection|timeout)error: |"
     rf"nothing (?:here|to see here|was found)\s*[.!]|subscription required|(?:you have|you've) (?:reached|exceeded|used up) (?:your|the) (?:\w+ )?(?:limit|quota)|you (?:do not|don't) have (?:permission|access|the rights?)|(?:please )?(?:log|sign) in (?:again )?to (?:continue|view|read|access)|(?:connection|request|operation|session) (?:refused|reset|timed out|aborted)\s*(?:[.!:]|$|by)|"
-    r"\{\s*\"(?:error|errors|fault|exception)\"\s*:|le (?:serveur|service) (?:ne répond pas|est (?:indisponible|surchargé))|el (?:servidor|servicio) no (?:está|responde)|der (?:server|dienst) (?:antwortet nicht|ist (?:überlastet|nicht))|服务器(?:繁忙|错误|无响应)|服务(?:暂时)?不可用)",
+    r"\{\s*\"(?:error|errors|fault|exception)\"\s*:|le (?:serveur|service) (?:ne répond pas|est (?:indisponible|surchargé))|el (?:servidor|servicio) no (?:está|responde)|der (?:server|dienst) (?:antwortet nicht|ist (?:überlastet|nicht))|"
+    rf"{THING} (?:could not|cannot|can ?not|can't|couldn't|failed to) be (?:loaded|found|displayed|opened|shown|retrieved|rendered|fetched)|(?:oops|whoops|uh-?oh)\b[!,. ]|something went wrong\b|an (?:unexpected |unknown |internal )?error (?:has )?occurred|"
+    r"(?:der|die|das|le|la|les|el|los) \w+ (?:ist|sind|est|sont|está|están) (?:\w+ ){0,2}(?:nicht (?:erreichbar|verfügbar|gefunden)|indisponibles?|introuvables?|no disponibles?|fuera de servicio)|(?:ein (?:\w+ )?fehler ist aufgetreten|une erreur (?:\w+ )?est survenue|se ha producido un error|ha ocurrido un error)|"
+    r"服务器(?:繁忙|错误|无响应)|服务(?:暂时)?不可用|(?:页面|系统)?(?:出错了|发生错误)|(?:暂时)?无法(?:打开|显示|加载|访问))",
     regex.I,
 )
 FAULT = regex.compile(r"(?s)<fault>.{0,200}</fault>|<Error>\s*<Code>.{0,200}</Error>")
@@ -109,7 +114,7 @@ TRIGGERS = [
         "lorem ipsum sample_text to_follow coming_soon click_to click_here text_here text_goes replace_this to_be_ blindtext hier_steht remplissage relleno ejemplo próximamente à_venir inhalt_folgt 内容即将 此处 示例文本 "
         "script cookie browser navegador navigateur 浏览器 启用 开启 正在 blocker loading robot human moment verif aktivieren activ habilite no_preview turn_it_on "
         "not_found bad_request forbidden gone unauthor gateway unavailable server too_many http erreur error fehler introuvable encontrada gefunden 找不到 denied denegado refusé verweigert 拒绝 you_asked you_requested looking_for available in_your request_was request_has session rate_limit took_too maintenance "
-    "can't_ cannot_ could_not unable_to failed fatal traceback nosuch exception nothing_here subscription limit permission log_in sign_in timed_out refused 服务器 不可用 serveur servicio dienst fault>"
+    "can't_ cannot_ could_not unable_to failed fatal traceback nosuch exception nothing_here subscription limit permission log_in sign_in timed_out refused 服务器 不可用 serveur servicio dienst fault> went_wrong be_loaded be_found be_displayed be_opened be_shown be_retrieved oops occurred erreichbar verfügbar indisponible disponible survenue aufgetreten producido ocurrido 出错 错误 无法 asdf qwer foo_bar zxcv"
     ).split()
 ]
 
@@ -166,8 +171,7 @@ def _field(line: str) -> str | None:
 
 def _lorem(line: str) -> bool:
     words = [w.strip(".,;:!?").lower() for w in line.split()]
-    known = sum(w in LOREM for w in words)
-    return known >= 5 and known >= 0.6 * len(words)
+    return any(known >= 5 and known >= 0.6 * len(words) for known in (sum(w in LOREM for w in words), sum(w in MASH for w in words)))
 
 
 def _repeated(text: str) -> str | None:

@@ -54,13 +54,13 @@ def test_only_the_last_oversized_row_counts(spark):
 CASES = [
     ("{{ title }}", "placeholder"), ("title: <%= paper.title %>", "placeholder"), ("Intro text.\n\nThis paper by [title goes here] studies {0}.", "placeholder"), ("Keywords: TODO: fill in venue", "placeholder"), ("year: __YEAR__", "placeholder"),
     ("A fine text about trees. Keywords: undefined", "placeholder"), ("Lorem ipsum dolor sit amet consectetur elit", "filler"), ("Sample text. Sample text. Sample text. Sample text. Sample text.", "filler"), ("xxxxx " * 20, "filler"),
-    ("404 Not Found", "error"), ("Real words here.\n\nInternal Server Error (request 1a).", "error"), ("Zugriff verweigert. Bitte neu anmelden.", "error"), ("Traceback (most recent call last):\n  File \"a.py\"", "error"),
+    ("404 Not Found", "error"), ("Real words here.\n\nInternal Server Error (request 1a).", "error"), ("Der Dienst ist vorübergehend nicht erreichbar.", "error"), ("Oops! Something went wrong on our side.", "error"), ("THE PDF COULD NOT BE LOADED.", "error"), ("jkl asdf asdf foo bar asdfg asdfg", "filler"), ("xxxxx xxxxx xxxxx xxxxx xxxxx", "filler"), ("Zugriff verweigert. Bitte neu anmelden.", "error"), ("Traceback (most recent call last):\n  File \"a.py\"", "error"),
     ("<html><body><h1>Please enable JavaScript to view this page.</h1></body></html>", "notice"), ("COOKIES MUST BE ALLOWED FOR THIS SITE TO WORK.", "notice"), ("请启用 JavaScript 以查看此页面。", "notice"),
 ]
 CLEAN = [
     None, "", "   ", "​", "<|endoftext|>", "The set $\\{\\{a\\}\\}$ has ${k}$ members.", "\\begin{equation}\\label{eq:a} x_{ab} \\end{equation}", "Template matching with `${title}` is described in the manual.", "```\n{{ title }}\n```\nThe rest is prose.",
     'Coders wrote "page not found" in the margin.', "Page not found errors are modelled as a Poisson process.", "In the macro, %(year)s is expanded once per row.", "Access was denied to 12 applicants.", "Of the links, 3 answered with 404 Not Found and were dropped.",
-    "JavaScript engines enable inline caching.", "See [[smith2020trees]] for more.", "Lorem ipsum paragraphs served as the control stimulus.", "The ratio is undefined for zero.",
+    "JavaScript engines enable inline caching.", "See [[smith2020trees]] for more.", "Lorem ipsum paragraphs served as the control stimulus.", "The ratio is undefined for zero.", "The root could not be found in closed form, so we bound it.", "Ein Fehler von 3% bleibt.",
 ]
 
 
