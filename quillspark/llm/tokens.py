@@ -96,7 +96,8 @@ def encode_column(text: Column, path: str, count_only: bool = False) -> Column:
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.int32()))
 
     arrow.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(arrow, "long" if count_only else "array<int>")(text)
+    # not deterministic, as far as the optimizer may know: a filter on the result would encode every text twice
+    return F.arrow_udf(arrow, "long" if count_only else "array<int>").asNondeterministic()(text)
 
 
 def pieces_of_long(df: DataFrame, key: str, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
