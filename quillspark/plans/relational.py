@@ -14,6 +14,7 @@ from quillspark.operators import review
 from quillspark.operators import tabular as tab
 from quillspark.operators.graph import connected_components, hop_distances
 from quillspark.plans import discovery
+from quillspark.sources import sinks
 from quillspark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,7 +189,7 @@ def claim_overlap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(r"""SELECT mark, min(doc_id) AS doc_id, count(*) AS n FROM (SELECT doc_id, substr(lower(trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'))), 1, 120) AS mark FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\x00-\x7F]')) t WHERE mark <> '' GROUP BY mark""")
 def near_dup_prefix(spark: SparkSession, folder: str) -> DataFrame:
-    return docs_.prefix_distinct(table(spark, folder, "documents").where(~F.col("text").rlike(r"[^\x00-\x7F]")), "doc_id", "text")
+    return docs_.prefix_distinct(table(spark, folder, "documents"), "doc_id", "text")
 
 
 @query("SELECT comprehension_status, section_type, count(*) AS n FROM segment_entries GROUP BY comprehension_status, section_type")
@@ -384,8 +385,8 @@ def shared_tags(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT rec_id, '@article{' || uid || ', title={' || trim(regexp_replace(title, '[ \t\n\r]+', ' ', 'g')) || '}, year={' || regexp_extract(pubdate, '((?:19|20)[0-9]{2})', 1) || '}}' AS entry FROM pubmed_results WHERE title IS NOT NULL AND pubdate IS NOT NULL AND NOT regexp_matches(title, '[^\\x00-\\x7F]')")
 def bibtex_entries(spark: SparkSession, folder: str) -> DataFrame:
-    p = table(spark, folder, "pubmed_results").where(F.col("title").isNotNull() & F.col("pubdate").isNotNull() & ~F.col("title").rlike(r"[^\x00-\x7F]"))
-    return p.select("rec_id", F.concat(F.lit("@article{"), "uid", F.lit(", title={"), clean_text(F.col("title")), F.lit("}, year={"), F.regexp_extract("pubdate", "((?:19|20)[0-9]{2})", 1), F.lit("}}")).alias("entry"))
+    year = F.regexp_extract("pubdate", "((?:19|20)[0-9]{2})", 1)
+    return table(spark, folder, "pubmed_results").select("rec_id", sinks.bibtex(F.coalesce(F.col("uid"), F.concat(F.lit("rec"), F.col("rec_id").cast("string"))), F.lit("article"), {"title": clean_text(F.col("title")), "year": year}).alias("entry"))
 
 
 @query(

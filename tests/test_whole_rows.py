@@ -11,3 +11,25 @@ def test_ticker_forms_keeps_customers_of_any_key(spark, tmp_path):
     assert got[90000] == ("600000.SH", "mapped_exchange") and got[90001] == ("00001.HK", "mapped_exchange")
     assert got[90002] == ("T90002", "us_bare") and got[90003] == ("X?90003", "preserved_unknown")
     assert got[123456] == ("633456.SH", "mapped_exchange")
+
+
+def test_near_dup_prefix_reads_texts_of_any_script(spark, tmp_path):
+    texts = ["Über  die Ähnlichkeit\n von Texten", "über die ähnlichkeit von texten", "机器学习 与 统计", "机器学习\u3000与 统计 ", "Plain text", "plain TEXT", "É" * 130, "é" * 125, "\u00a0 \n", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for i, t in enumerate(texts):
+        mark = " ".join((t or "").split()).lower()[:120]
+        if mark:
+            first, n = want.get(mark, (i, 0))
+            want[mark] = (first, n + 1)
+    assert {r["mark"]: (r["doc_id"], r["n"]) for r in relational.near_dup_prefix(spark, str(tmp_path)).collect()} == want
+    assert want["über die ähnlichkeit von texten"] == (0, 2)
+
+
+def test_bibtex_entries_gives_every_record(spark, tmp_path):
+    rows = [(1, "11", "Growth\n of R&D", "2019 May"), (2, "12", "Étude naïve", "2020"), (3, "13", None, "2021"), (4, "14", "No date", None), (5, None, "No uid", "2022")]
+    spark.createDataFrame(rows, "rec_id long, uid string, title string, pubdate string").write.parquet(str(tmp_path / "pubmed_results.parquet"))
+    assert {r["rec_id"]: r["entry"] for r in relational.bibtex_entries(spark, str(tmp_path)).collect()} == {
+        1: "@article{11,\n  title = {Growth of R\\&D},\n  year = {2019}\n}", 2: "@article{12,\n  title = {Étude naïve},\n  year = {2020}\n}", 3: "@article{13,\n  year = {2021}\n}",
+        4: "@article{14,\n  title = {No date}\n}", 5: "@article{rec5,\n  title = {No uid},\n  year = {2022}\n}",
+    }
