@@ -71,6 +71,7 @@ FILLER = regex.compile(
 STUTTER = regex.compile(r"\b([a-z]{2,12})\b(?:[\s,.]+\1\b){6,}|\bx{3,}(?:\s+x{3,}\b){3,}")
 #: What hands type that write nothing.
 MASH = frozenset("asdf asdfg asdfgh jkl jklö sdf qwer qwert qwerty zxcv zxcvb foo bar baz qux test blah bla xxx".split())
+TYPED = LOREM | MASH
 LEAST_REPEATS = 4
 NOTICE = regex.compile(
     r"(?:(?:please |you (?:need|have) to |you must |to [^.\n]{3,60}, (?:please |you (?:need|have) to )?)?(?:enable|activate|allow|turn on|switch on|accept)\b[^.\n\"]{0,40}?\b(?:java ?scripts?|scripts?|scripting|cookies)\b(?=[^\"”]*$|[^\"”]*[.!])|"
@@ -106,17 +107,9 @@ FAULT = regex.compile(r"(?s)<fault>.{0,200}</fault>|<Error>\s*<Code>.{0,200}</Er
 #: A line with one of these reports on messages; it isn't one.
 REPORTS = regex.compile(r"\b(?:we (?:therefore|removed|call|kept|followed|dropped)|were (?:retried|dropped|coded|removed)|answered with|modelled|the log line|crawler|of the sample|in the margin|is treated as|participants|coders)\b", regex.I)
 TAGS = regex.compile(r"</?[a-zA-Z][a-zA-Z0-9]*(?:\s[^<>\n]*)?/?>")
-#: Texts without any of these have nothing to look for; `_` stands for a blank.
-TRIGGERS = [
-    w if w == "__" else w.replace("_", " ")
-    for w in (
-        "{{ {% <% ${ %( @@ [[ __ « &lt; $$ <! [object undefined nan [insert [your [enter [add [fill [type goes here] (add (insert (fill todo: fixme: tbd xxxx placeholder dummy {0 {1 {2 "
-        "lorem ipsum sample_text to_follow coming_soon click_to click_here text_here text_goes replace_this to_be_ blindtext hier_steht remplissage relleno ejemplo próximamente à_venir inhalt_folgt 内容即将 此处 示例文本 "
-        "script cookie browser navegador navigateur 浏览器 启用 开启 正在 blocker loading robot human moment verif aktivieren activ habilite no_preview turn_it_on "
-        "not_found bad_request forbidden gone unauthor gateway unavailable server too_many http erreur error fehler introuvable encontrada gefunden 找不到 denied denegado refusé verweigert 拒绝 you_asked you_requested looking_for available in_your request_was request_has session rate_limit took_too maintenance "
-    "can't_ cannot_ could_not unable_to failed fatal traceback nosuch exception nothing_here subscription limit permission log_in sign_in timed_out refused 服务器 不可用 serveur servicio dienst fault> went_wrong be_loaded be_found be_displayed be_opened be_shown be_retrieved oops occurred erreichbar verfügbar indisponible disponible survenue aufgetreten producido ocurrido 出错 错误 无法 asdf qwer foo_bar zxcv"
-    ).split()
-]
+#: Lines without any of these, and without what BRACE finds, have no unfilled field: each alternative of PLACEHOLDER
+#: and MISSING holds one.
+TRIGGERS = "{{ {% <% ${ %( @@ [[ __ « &lt; $$ <! <title> [object undefined nan [insert [your [enter [add [fill [type (add (insert (fill todo fixme tbd xxxx".split() + ["goes here]"]
 
 
 @functools.lru_cache(maxsize=1)
@@ -170,6 +163,12 @@ def _field(line: str) -> str | None:
 
 
 def _lorem(line: str) -> bool:
+    plain = line.lower()
+    for mark in ".,;:!?":
+        plain = plain.replace(mark, "")
+    some = plain.split()  # has no fewer known words, and is faster to count
+    if sum(map(TYPED.__contains__, some)) < 5:
+        return False
     words = [w.strip(".,;:!?").lower() for w in line.split()]
     return any(known >= 5 and known >= 0.6 * len(words) for known in (sum(w in LOREM for w in words), sum(w in MASH for w in words)))
 
@@ -193,10 +192,9 @@ def inspect(text: str | None) -> tuple[str, str] | None:
         lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     hits = [end for end, _ in _automaton().iter(lower)]
     hits += [m.start() for m in BRACE.finditer(text)]
+    hits.sort()
     stutter = STUTTER.search(lower)
     repeated = _repeated(text)
-    if not (hits or stutter or repeated):
-        return None
     masked = _masked(text)
     if stutter and masked[stutter.start() : stutter.end()].strip():
         return "filler", stutter[0][:80]
@@ -204,23 +202,17 @@ def inspect(text: str | None) -> tuple[str, str] | None:
         return "filler", repeated[:80]
     if m := FAULT.search(masked):
         return "error", m[0][:80]
-    lines: dict[tuple[int, int], list[int]] = {}
-    for at in sorted(hits):
-        start = max(masked.rfind("\n", 0, at), masked.rfind("\r", 0, at)) + 1
-        end = min((e for e in (masked.find("\n", at), masked.find("\r", at)) if e >= 0), default=len(masked))
-        lines.setdefault((start, end), []).append(at - start)
-    for (start, end), offsets in lines.items():
-        line = masked[start:end]
+    end = -1
+    for line in regex.split(r"[\r\n]", masked):
+        start, end = end + 1, end + 1 + len(line)
         if not line.strip():
             continue
-        if field := _field(line):
+        if bisect.bisect_left(hits, start) < bisect.bisect_left(hits, end) and (field := _field(line)):
             return "placeholder", f"{field}: {line.strip()[:80]}"
         plain = TAGS.sub(lambda m: " " * len(m[0]), line) if "<" in line else line
         if _lorem(plain):
             return "filler", plain.strip()[:80]
-        begins = [0, *(m.end() for m in SENTENCE.finditer(plain))]
-        tried = {begins[bisect.bisect_right(begins, at) - 1] for at in offsets}
-        for at in sorted(tried):
+        for at in (0, *(m.end() for m in SENTENCE.finditer(plain))):
             while at < len(plain) and plain[at] not in "{<" and not plain[at].isalnum():
                 if plain[at] in "\"“”„`'":
                     at = len(plain)  # quoted: the sentence speaks of it
