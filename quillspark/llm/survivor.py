@@ -6,6 +6,7 @@ the weights of the values that have it; the value closest to the consensus is th
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -18,8 +19,51 @@ from quillspark.session import cut
 #: Values of one group that a task aligns; larger groups are aligned in buckets of this size, whose consensus
 #: values are aligned again.
 BUCKET = 32
-#: Cells of an alignment's table; beyond, the part between common start and end counts as replaced.
-MOST_CELLS = 4_000_000
+
+
+def _common(x: Sequence[str], y: Sequence[str]) -> list[tuple[int, int]]:
+    """The steps of a longest common subsequence: positions, -1 for a gap; of equal ways, y's gap comes first.
+
+    Rows of the table are numbers with a bit for each token of y, from its end: 0 where the subsequence grows.
+    Every k-th row is kept and those between are computed again, so memory is y's length times the root of x's,
+    in bits.
+    """
+    n, m = len(x), len(y)
+    full, places = (1 << m) - 1, dict.fromkeys(x, 0)
+    for j, t in enumerate(y):
+        if t in places:
+            places[t] |= 1 << (m - 1 - j)
+
+    def above(row: int, i: int) -> int:
+        u = row & places[x[i]]
+        return ((row + u) | (row - u)) & full
+
+    k = math.isqrt(n) + 1
+    row, kept = full, {n: full}
+    for i in range(n - 1, -1, -1):
+        row = above(row, i)
+        if i % k == 0:
+            kept[i] = row
+    pairs, rows = [], {}
+    left = m - row.bit_count()
+    i = j = 0
+    while i < n and j < m:
+        if i not in rows or i + 1 not in rows:
+            end = min(n, (i // k + 1) * k)
+            rows = {end: kept[end]}
+            for h in range(end - 1, i - 1, -1):
+                rows[h] = above(rows[h + 1], h)
+        if x[i] == y[j]:
+            pairs.append((i, j))
+            i, j, left = i + 1, j + 1, left - 1
+        elif not rows[i] >> (m - 1 - j) & 1 or m - j - (rows[i + 1] & ((1 << (m - j)) - 1)).bit_count() == left:
+            left = m - j - (rows[i + 1] & ((1 << (m - j)) - 1)).bit_count()
+            pairs.append((i, -1))
+            i += 1
+        else:
+            pairs.append((-1, j))
+            j += 1
+    return pairs + [(h, -1) for h in range(i, n)] + [(-1, h) for h in range(j, m)]
 
 
 def align(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
@@ -32,27 +76,10 @@ def align(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
         end += 1
     x, y = a[start : len(a) - end], b[start : len(b) - end]
     pairs = [(k, k) for k in range(start)]
-    if not x or not y or not set(x) & set(y) or len(x) * len(y) > MOST_CELLS:
+    if not x or not y or not set(x) & set(y):
         pairs += [(start + k, -1) for k in range(len(x))] + [(-1, start + k) for k in range(len(y))]
     else:
-        n, m = len(x), len(y)
-        best = [[0] * (m + 1) for _ in range(n + 1)]
-        for i in range(n - 1, -1, -1):
-            row, below, t = best[i], best[i + 1], x[i]
-            for j in range(m - 1, -1, -1):
-                row[j] = below[j + 1] + 1 if t == y[j] else (below[j] if below[j] >= row[j + 1] else row[j + 1])
-        i = j = 0
-        while i < n and j < m:
-            if x[i] == y[j]:
-                pairs.append((start + i, start + j))
-                i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                pairs.append((start + i, -1))
-                i += 1
-            else:
-                pairs.append((-1, start + j))
-                j += 1
-        pairs += [(start + k, -1) for k in range(i, n)] + [(-1, start + k) for k in range(j, m)]
+        pairs += [(i + start if i >= 0 else -1, j + start if j >= 0 else -1) for i, j in _common(x, y)]
     pairs += [(len(a) - end + k, len(b) - end + k) for k in range(end)]
     return pairs
 

@@ -1,8 +1,11 @@
 """Inputs that shortcuts had left out."""
 
+import datetime as dt
+import random
+
 import pytest
 
-from quillspark.llm import residue
+from quillspark.llm import residue, survivor
 
 
 @pytest.mark.parametrize(
@@ -25,3 +28,30 @@ def test_every_placeholder_grammar_passes_the_triggers():
     assert set(examples) == set(residue.GRAMMARS)
     more = ["<TITLE>", "<your name>", "##NAME##", "[INSERT name]", "[Enter name]", "[ADD name]", "[TYPE name]", "[FILL IN name]", "[your name]", "(add name)", "(insert name)", "(fill in name)", "TBD", "XXXX (name)", "<!-- todo name -->", "undefined", "Title: NaN"]
     assert [t for t in (*examples.values(), *more) if (residue.inspect(t) or [""])[0] != "placeholder"] == []
+
+
+def longest(x, y):
+    row = [0] * (len(y) + 1)
+    for a in x:
+        last, row = row, [0]
+        for j, b in enumerate(y):
+            row.append(last[j] + 1 if a == b else max(row[j], last[j + 1]))
+    return row[-1]
+
+
+def test_alignment_is_a_longest_one():
+    rng = random.Random(5)
+    for _ in range(300):
+        a, b = ([rng.choice("abcde") for _ in range(rng.randrange(30))] for _ in range(2))
+        pairs = survivor.align(a, b)
+        assert [i for i, _ in pairs if i >= 0] == list(range(len(a))) and [j for _, j in pairs if j >= 0] == list(range(len(b)))
+        matched = [(i, j) for i, j in pairs if i >= 0 and j >= 0]
+        assert all(a[i] == b[j] for i, j in matched) and len(matched) == longest(a, b)
+
+
+def test_very_long_texts_are_aligned():
+    words = [f"w{k}" for k in range(6000)]
+    one, other = ["begin", *words, "end"], ["start", *words, "stop"]
+    assert survivor.agreement(one, other) == 6000 / 6002
+    agreed = survivor.consensus_tokens([(one, 1.0), (other, 0.9)])
+    assert len(agreed) < 6010 and survivor.agreement(other, agreed) > 0.99
