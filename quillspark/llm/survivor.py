@@ -19,6 +19,9 @@ from quillspark.session import cut
 #: Values of one group that a task aligns; larger groups are aligned in buckets of this size, whose consensus
 #: values are aligned again.
 BUCKET = 32
+#: A count with more binary digits (of its successor) is odd if at least this share of the works with a count of as
+#: many digits has it.
+SMALL_BITS, LEAST_SHARE = 16, 0.1
 
 
 def _common(x: Sequence[str], y: Sequence[str]) -> list[tuple[int, int]]:
@@ -232,17 +235,21 @@ def best_counts(openalex: DataFrame) -> DataFrame:
 
     The counts of a work in the order of retrieval are aligned with themselves in the order of size: the
     heaviest common subsequence is the longest course without a fall. A zero weighs next to nothing beside
-    other counts, as it also stands for a lost one. Negative counts weigh nothing; nor do counts of a size that
-    no natural count has, told by their repetition: in their binary order of magnitude, at least ten rows share
-    each value on average. Equal counts of one work are one step however often they were retrieved.
+    other counts, as it also stands for a lost one. Negative counts weigh nothing; nor do large counts that
+    different works share, as large natural counts hardly do: at least LEAST_SHARE of the works with a count of
+    that binary order of magnitude, and two at least. How often a count was retrieved doesn't matter for that.
+    Equal counts of one work are one step however often they were retrieved.
     """
     key = F.upper(F.regexp_extract("id", r"(?i)(w[0-9]+)", 1))
     rows = cut(in_groups(openalex.select(F.when(key != "", key).alias("group_key"), "rec_id", "retrieved_at", F.col("cited_by_count").cast("long").alias("value"))))
     real = rows.where("value >= 0")
-    size = F.floor(F.log2(F.col("value") + 1))
-    sizes = real.groupBy(size.alias("_size")).agg((F.count(F.lit(1)) / F.countDistinct("value")).alias("_each"))  # 64 rows at most
-    odd = sizes.where((F.col("_each") >= 10) & (F.col("_size") >= 16)).select("_size", F.lit(True).alias("_odd"))
-    real = real.withColumn("_size", size).join(F.broadcast(odd), "_size", "left").where(F.col("_odd").isNull())
+    size = F.length(F.bin(F.col("value") + 1))
+    works = real.where(size > SMALL_BITS).select(size.alias("_size"), "value", "group_key").distinct()
+    held = works.groupBy("_size", "value").agg(F.count(F.lit(1)).alias("_works"))
+    sizes = works.groupBy("_size").agg(F.countDistinct("group_key").alias("_all"))  # 63 rows at most
+    # few values: for each size at most 1 / LEAST_SHARE for each large count that a work has on average
+    odd = held.join(F.broadcast(sizes), "_size").where((F.col("_works") >= 2) & (F.col("_works") >= LEAST_SHARE * F.col("_all"))).select("value")
+    real = real.join(odd, "value", "left_anti")
     steps = real.groupBy("group_key", "value").agg(F.max("retrieved_at").alias("last_at"), F.count(F.lit(1)).alias("n"))
 
     @F.pandas_udf("long")

@@ -55,3 +55,23 @@ def test_very_long_texts_are_aligned():
     assert survivor.agreement(one, other) == 6000 / 6002
     agreed = survivor.consensus_tokens([(one, 1.0), (other, 0.9)])
     assert len(agreed) < 6010 and survivor.agreement(other, agreed) > 0.99
+
+
+COUNTS = "rec_id long, id string, cited_by_count int, retrieved_at timestamp_ntz"
+
+
+def counts(spark, courses):
+    rows = [(f"https://openalex.example/W{w}", n, dt.datetime(2024, 1, 1) + dt.timedelta(days=d)) for w, course in courses.items() for d, n in enumerate(course)]
+    got = survivor.best_counts(spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], COUNTS)).collect()
+    return {int(r["group_key"][1:]): int(r["value"]) for r in got}
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_a_spoilt_count_is_told_at_every_size(spark, copies):
+    courses = {10 * c + w: [5, 6, 7, spoilt] for c in range(copies) for w, spoilt in enumerate([99999999, 99999999, 99998888, 99998888])}
+    assert set(counts(spark, courses).values()) == {7}
+
+
+def test_true_large_counts_stay_however_often_retrieved(spark):
+    hot = {1: [70000] * 30 + [70001] * 30, 2: [90000, 90010], 3: [3, 99999], 4: [4, 99999], 5: [80000, 80000]}
+    assert counts(spark, hot) == {1: 70001, 2: 90010, 3: 3, 4: 4, 5: 80000}
