@@ -397,6 +397,13 @@ def html_chrome(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("doc_id", *review.without_chrome(F.col("text"))).select("doc_id", "removed")
 
 
+@query()
+def html_content(spark: SparkSession, folder: str) -> DataFrame:
+    """What html_chrome leaves of every text; a query of its own, as the SQL of html_chrome has no such column."""
+    d = table(spark, folder, "documents").where("text IS NOT NULL")
+    return d.select("doc_id", *review.without_chrome(F.col("text")))
+
+
 @query(
     r"""SELECT doc_id, technique FROM documents, (VALUES ('induction', '\binduction\b'), ('contradiction', 'by contradiction|contradicts'), ('coupling', '\bcoupling\b'), ('concentration', 'concentration inequalit|\bhoeffding\b|\bbernstein\b'), ('chaining', '\bchaining\b'), ('taylor expansion', 'taylor'), ('minimax', '\bminimax\b'),
     ('symmetrization', 'symmetri[sz]ation'), ('union bound', 'union bound'), ('fixed point', 'fixed[- ]point')) t(technique, p) WHERE text IS NOT NULL AND regexp_matches(lower(text), p)"""

@@ -33,3 +33,10 @@ def test_bibtex_entries_gives_every_record(spark, tmp_path):
         1: "@article{11,\n  title = {Growth of R\\&D},\n  year = {2019}\n}", 2: "@article{12,\n  title = {Étude naïve},\n  year = {2020}\n}", 3: "@article{13,\n  year = {2021}\n}",
         4: "@article{14,\n  title = {No date}\n}", 5: "@article{rec5,\n  title = {No uid},\n  year = {2022}\n}",
     }
+
+
+def test_html_content_is_the_cleaned_text(spark, tmp_path):
+    texts = {1: "<body><nav>menu</nav><ARTICLE class='a'>One <b>two</b>\n three</ARTICLE>rest</body>", 2: "<html><header>h</header><main>Main\n<style>x{}</style> text</main><footer>f</footer></html>", 3: "no markup at  all", 4: "<body>only <aside>ads</aside>body</body>", 5: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["content"], r["removed"]) for r in relational.QUERIES["html_content"](spark, str(tmp_path)).collect()}
+    assert got == {1: ("One two three", 1), 2: ("Main text", 3), 3: ("no markup at all", 0), 4: ("only body", 1)}
