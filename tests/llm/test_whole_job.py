@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from quillspark.llm import residue, survivor
+from quillspark.llm import matching, residue, survivor
 
 
 @pytest.mark.parametrize(
@@ -75,3 +75,13 @@ def test_a_spoilt_count_is_told_at_every_size(spark, copies):
 def test_true_large_counts_stay_however_often_retrieved(spark):
     hot = {1: [70000] * 30 + [70001] * 30, 2: [90000, 90010], 3: [3, 99999], 4: [4, 99999], 5: [80000, 80000]}
     assert counts(spark, hot) == {1: 70001, 2: 90010, 3: 3, 4: 4, 5: 80000}
+
+
+def test_an_abstract_vouches_for_a_pair_of_other_authors(spark):
+    grams = lambda x: matching.pack_bits(matching.qgrams(x.split()))
+    said = matching.pack_bits(f"shingle {k}" for k in range(40))
+    titles = ["causal forests for early flood warning in deltas", "causal forest for early flood warning in deltas"]
+    rows = [(k + 1, k + 1, t, grams(t), grams(n), s, None, None, None) for k, (t, n, s) in enumerate(zip(titles, ["the delta study group", "müller quispe okafor zhang"], [said, said]))]
+    spelt = spark.createDataFrame(rows, "pid long, src int, plain string, vector array<long>, name_vector array<long>, said array<long>, doi string, arxiv string, pmid string")
+    assert [tuple(r) for r in matching.candidate_pairs(spelt).collect()] == [(1, 2)]
+    assert matching.candidate_pairs(spelt.withColumn("said", spelt["name_vector"])).collect() == []
