@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import blank_to_null, clean_text, fold
+from quillspark.functions.text import blank_to_null, clean_text
 
 #: Words that no cite key takes from a title.
 KEY_STOP_WORDS = "a an and by for from in of on or the to toward towards with".split()
@@ -32,17 +35,25 @@ def clean_openalex(x: Column) -> Column:
 
 def clean_pmid(x: Column) -> Column:
     """A PubMed number of 5 to 12 digits: the whole text, or the first in a text that names PubMed."""
-    bare = F.regexp_replace(F.lower(clean_text(x)), r"^(pmid|pubmed):\s*", "")
+    bare = F.regexp_replace(F.lower(clean_text(x)), r"^(pmid|pubmed)\s*:\s*", "")
     return F.when(bare.rlike("^[0-9]{5,12}$"), bare).when(F.lower(x).rlike("pmid|pubmed"), first_match(x, "([0-9]{5,12})"))
 
 
 def arxiv_id(x: Column) -> Column:
     """The arXiv number without version, new style or old; null for a DOI that isn't arXiv's."""
-    low = F.lower(clean_text(x))
-    foreign = low.rlike(r"10\.[0-9]{4,9}/") & ~low.contains("arxiv")
-    new = first_match(low, r"([0-9]{4}\.[0-9]{4,5})")
-    old = first_match(low, r"arxiv[:/ ]([a-z\-]+/[0-9]{7})")
-    return F.when(~foreign, F.coalesce(new, old))
+    text = clean_text(x)
+    foreign = clean_doi(x).isNotNull() & ~F.lower(text).contains("arxiv")
+    return F.when(~foreign, F.coalesce(first_match(text, r"([0-9]{4}\.[0-9]{4,5})"), first_match(text, r"(?i)arxiv[:/ ]([a-z\-.]+/[0-9]{7})")))
+
+
+def arxiv_pdf(number: Column) -> Column:
+    """The address of a paper's PDF; null without a number."""
+    return F.concat(F.lit("https://arxiv.org/pdf/"), number, F.lit(".pdf"))
+
+
+def truthy(*columns: Column) -> Column:
+    """The first that is neither null nor empty, as given."""
+    return F.coalesce(*(F.when(c != "", c) for c in columns))
 
 
 def parse_int(x: Column) -> Column:
@@ -65,9 +76,20 @@ def split_list(x: Column, pattern: str = "[,;]") -> Column:
     return ordered_distinct(F.split(F.coalesce(x, F.lit("")), pattern))
 
 
+def normal_form(x: Column, form: str) -> Column:
+    """Unicode's NFKC or NFKD. Spark has no such function, so rows that aren't ASCII alone go through Arrow."""
+
+    @F.pandas_udf("string")
+    def normalized(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize(form, t))
+
+    ascii_only = ~x.rlike(r"[^\x00-\x7F]")
+    return F.coalesce(F.when(ascii_only, x), normalized(F.when(~ascii_only, x)))
+
+
 def plain_title(x: Column) -> Column:
-    """Lower case, anything but letters, digits and underscores as one blank."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"(?U)[^\w]+", " "))
+    """NFKC in lower case, anything but letters, digits and underscores as one blank."""
+    return F.trim(F.regexp_replace(F.lower(normal_form(F.coalesce(x, F.lit("")), "NFKC")), r"(?U)[^\w]+", " "))
 
 
 def canonical_id(arxiv: Column, doi: Column, openalex: Column, title: Column, year: Column) -> Column:
@@ -78,19 +100,29 @@ def canonical_id(arxiv: Column, doi: Column, openalex: Column, title: Column, ye
 
 
 def slug(x: Column) -> Column:
-    """Folded letters and digits alone; `unknown` if none are left."""
-    bare = F.regexp_replace(fold(F.coalesce(x, F.lit(""))), "[^a-z0-9]+", "")
+    """ASCII letters and digits of the decomposed text, in lower case; `unknown` if none are left."""
+    bare = F.lower(F.regexp_replace(normal_form(F.coalesce(x, F.lit("")), "NFKD"), "[^A-Za-z0-9]+", ""))
     return F.when(bare != "", bare).otherwise("unknown")
 
 
+def slug_words(x: Column, mark: str, most: int | None = None, other: str = "unknown") -> Column:
+    """ASCII letters and digits of the decomposed text in lower case, other runs as one mark, none outside; cut
+    to `most` characters."""
+    bare = F.regexp_replace(F.lower(F.regexp_replace(normal_form(F.coalesce(x, F.lit("")), "NFKD"), r"[^\x00-\x7F]+", "")), "[^a-z0-9]+", mark)
+    bare = F.regexp_replace(bare, f"^{mark}+|{mark}+$", "")
+    if most is not None:
+        bare = F.regexp_replace(F.substring(bare, 1, most), f"{mark}+$", "")
+    return F.when(bare != "", bare).otherwise(other)
+
+
 def surname(author: Column) -> Column:
     """The slug of the part before a comma, else of the last word."""
     return slug(F.when(F.instr(author, ",") > 0, F.split(author, ",")[0]).otherwise(F.element_at(F.split(clean_text(author), " "), -1)))
 
 
 def cite_key(author: Column, year: Column, title: Column, most_words: int = 1) -> Column:
-    """Surname, year and the first title words that count, as `zhang2024neural`."""
-    words = F.filter(F.split(fold(F.coalesce(title, F.lit(""))), "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(KEY_STOP_WORDS))
+    """Surname, year and the first title words that count, as `zhang2024neural`; words end at combining marks."""
+    words = F.filter(F.split(F.lower(normal_form(F.coalesce(title, F.lit("")), "NFKD")), "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(KEY_STOP_WORDS))
     said = F.when(F.size(words) > 0, F.array_join(F.slice(words, 1, most_words), "")).otherwise("paper")
     return F.concat(surname(author), F.coalesce(year.cast("string"), F.lit("0")), said)
 
@@ -118,10 +150,27 @@ def inverted_abstract(index: Column) -> Column:
     return F.array_join(F.transform(last, lambda x: x["w"]), " ")
 
 
-def alias_tokens(arxiv: Column, doi: Column, openalex: Column, pmid: Column) -> Column:
-    """Every written form of a record's identifiers, sorted and distinct."""
-    forms = [arxiv, F.concat(F.lit("arxiv:"), arxiv), doi, F.concat(F.lit("doi:"), doi), openalex, F.concat(F.lit("openalex:"), openalex), pmid, F.concat(F.lit("pmid:"), pmid), F.concat(F.lit("pubmed:"), pmid)]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*forms))))
+def identifier_aliases(x: Column) -> Column:
+    """Every written form of the identifiers in a text, the cleaned text itself last; empty for a blank text."""
+    text = clean_text(x)
+    forms = []
+    for kind, found in (("arxiv", arxiv_id(x)), ("doi", clean_doi(x)), ("openalex", clean_openalex(x)), ("pmid", clean_pmid(x))):
+        forms += [found, F.concat(F.lit(f"{kind}:"), found)]
+    return F.array_distinct(F.array_compact(F.array(*forms, F.when(text != "", text))))
+
+
+def record_aliases(values: list[Column]) -> Column:
+    """The aliases of several identifiers and addresses, distinct."""
+    return F.array_distinct(F.flatten(F.array(*(identifier_aliases(v) for v in values))))
+
+
+#: Country suffixes of tickers, by what becomes of them.
+COUNTRY_FORMS = {
+    "CN": r"(?i)^([0-9]+)\s*[-\s](?:CN|CH|SS)$",
+    "HK": r"(?i)^([0-9]{4,5})\s*[-\s]HK$",
+    "TW": r"(?i)^([0-9]{4})\s*[-\s]TW$",
+    "US": r"(?i)^([A-Z0-9./]+)\s*[-\s](?:US|UN|UW)$",
+}
 
 
 def ticker(raw: Column) -> Column:
@@ -129,7 +178,7 @@ def ticker(raw: Column) -> Column:
     United States goes; any other text stays as it is."""
     t = F.trim(raw)
     code = lambda p: F.regexp_extract(t, p, 1)
-    cn, hk, tw, us = r"(?i)^([0-9]+)\s*[-\s](?:CN|CH|SS)$", r"(?i)^([0-9]{4,5})\s*[-\s]HK$", r"(?i)^([0-9]{4})\s*[-\s]TW$", r"(?i)^([A-Z0-9./]+)\s*[-\s](?:US|UN|UW)$"
+    cn, hk, tw, us = (COUNTRY_FORMS[k] for k in ("CN", "HK", "TW", "US"))
     out = lambda value, kind: F.struct(value.alias("ticker"), F.lit(kind).alias("kind"))
     shenzhen = F.substring(code(cn), 1, 1).isin("0", "3", "4", "8")
     return (

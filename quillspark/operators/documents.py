@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import clean_text
 
 #: Words of an introduction's paragraphs by class, the first class that fits wins.
 BLOCK_RULES = [
-    ("CONTRIBUTION", ["we propose", "we introduce", "our contribution", "this paper"]), ("GAP", ["however", "remains open", "lack", "no existing"]), ("PRIOR_WORK", ["et al", "prior work", "previous", "earlier"]),
-    ("MOTIVATION", ["important", "motivat", "challenge"]), ("ROADMAP", ["section ", "organized", "rest of"]),
-]
-#: Section types by words of the heading, the first that fits wins.
-SECTION_RULES = [
-    ("introduction", ["introduction", "overview"]), ("background", ["background", "related", "notation", "model"]), ("method", ["method", "estimat", "procedure", "approach"]), ("theory", ["theor", "asymptotic", "proof"]), ("simulation", ["simulation", "synthetic"]),
-    ("real_data", ["data", "application", "case"]), ("discussion", ["discussion", "limit", "conclusion", "conclud"]), ("reference", ["reference", "bibliography"]), ("appendix", ["appendix", "supplement"]),
+    ("CONTRIBUTION", ["we propose", "we introduce", "our contribution", "in this paper, we"]),
+    ("GAP", ["however", "limitation", "gap", "missing", "fails to", "lack of"]),
+    ("PRIOR_WORK", ["previous work", "prior work", "has been studied", "et al."]),
+    ("MOTIVATION", ["motivated by", "challenge", "difficulty", "problem of"]),
+    ("ROADMAP", ["the rest of this paper", "section", "organized as follows", "outline"]),
 ]
 
 
@@ -31,6 +29,40 @@ def first_rule(text: Column, rules: list[tuple[str, list[str]]], other: str) ->
     return out.otherwise(other)
 
 
+def with_lines(docs: DataFrame, key: str, text: str | Column) -> DataFrame:
+    """key, _lines of each document. The array comes out of a generator, through which no optimizer rule copies it:
+    inside a lambda a plain expression would split the text again for every element."""
+    return docs.select(key, F.explode(F.array(F.split(F.col(text) if isinstance(text, str) else text, "\r?\n"))).alias("_lines"))
+
+
+def numbers(array: str) -> Column:
+    """The positions of an array, from 1; empty for an empty one."""
+    return F.when(F.size(array) > 0, F.sequence(F.lit(1), F.size(array))).otherwise(F.array().cast("array<int>"))
+
+
+def runs_of(flags: str) -> Column:
+    """array<struct<first, last>> of the runs of true elements of an array, positions from 1; linear, no shuffle."""
+    at = lambda i: F.coalesce(F.get(F.col(flags), i), F.lit(False))
+    starts = F.filter(numbers(flags), lambda i: at(i - 1) & ~F.when(i >= 2, at(i - 2)).otherwise(False))
+    ends = F.filter(numbers(flags), lambda i: at(i - 1) & ~at(i))
+    return F.transform(F.arrays_zip(starts.alias("first"), ends.alias("last")), lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))
+
+
+def sections(docs: DataFrame, key: str, text: str | Column) -> DataFrame:
+    """key, heading, first_line, last_line, body (array of its lines) of every section; what stands before the first
+    heading has a null heading. A document stays in its row until it is cut, so nothing is shuffled."""
+    heads = F.filter(numbers("_lines"), lambda i: F.get(F.col("_lines"), i - 1).rlike("^#{1,6} "))
+    starts = with_lines(docs, key, text).select(key, "_lines", F.explode(F.array(heads)).alias("_h"))
+    firsts = F.when(F.coalesce(F.get("_h", F.lit(0)), F.lit(0)) == 1, F.col("_h")).otherwise(F.concat(F.array(F.lit(1)), F.col("_h")))
+    starts = starts.select(key, "_lines", F.explode(F.array(firsts)).alias("_f"))
+    last = lambda k: F.coalesce(F.get("_f", k + 1) - 1, F.size("_lines"))
+    cut_up = F.transform("_f", lambda at, k: F.struct(at.alias("first_line"), last(k).alias("last_line"), F.slice("_lines", at, last(k) - at + 1).alias("body")))
+    head = F.get("_s.body", F.lit(0))
+    return starts.select(key, F.explode(cut_up).alias("_s")).select(
+        key, F.when(head.rlike("^#{1,6} "), F.regexp_extract(head, r"^#{1,6} +(.*?)[ \r]*$", 1)).alias("heading"), "_s.first_line", "_s.last_line", "_s.body"
+    )
+
+
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, line_no (from 1), line."""
     return docs.select(key, F.posexplode(F.split(F.col(text), "\r?\n")).alias("_p", "line")).select(key, (F.col("_p") + 1).alias("line_no"), "line")
@@ -38,27 +70,20 @@ def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def headed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """lines with the heading they stand under, null before the first."""
-    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    title = F.regexp_extract("line", r"^#{1,6} +(.*?)[ \r]*$", 1)
-    return lines(docs, key, text).withColumn("heading", F.last(F.when(F.col("line").rlike("^#{1,6} "), title), ignorenulls=True).over(w))
+    return sections(docs, key, text).select(key, "heading", "first_line", F.posexplode("body").alias("_p", "line")).select(key, (F.col("first_line") + F.col("_p")).alias("line_no"), "line", "heading")
 
 
 def section_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, heading, first_line, last_line of every headed section."""
-    w = Window.partitionBy(key).orderBy("line_no")
-    every = lines(docs, key, text)
-    counts = docs.select(key, F.size(F.split(F.col(text), "\r?\n")).alias("_all"))
-    heads = every.where(F.col("line").rlike("^#{1,6} "))
-    spans = heads.withColumn("_next", F.lead("line_no").over(w)).join(counts, key)
-    return spans.select(key, F.regexp_extract("line", r"^#{1,6} +(.*?)[ \r]*$", 1).alias("heading"), F.col("line_no").alias("first_line"), F.coalesce(F.col("_next") - 1, F.col("_all")).alias("last_line"))
+    return sections(docs, key, text).where("heading IS NOT NULL").select(key, "heading", "first_line", "last_line")
 
 
 def short_line_runs(docs: DataFrame, key: str, text: str, longest: int = 30, least: int = 3) -> DataFrame:
     """key, first_line, n of runs of at least `least` short non-blank lines."""
-    kept = lines(docs, key, text).withColumn("_short", (F.length(F.trim("line")) > 0) & (F.length(F.trim("line")) < longest))
-    island = F.col("line_no") - F.row_number().over(Window.partitionBy(key).orderBy("line_no"))
-    runs = kept.where("_short").withColumn("_island", island).groupBy(key, "_island").agg(F.min("line_no").alias("first_line"), F.count(F.lit(1)).alias("n"))
-    return runs.where(F.col("n") >= least).select(key, "first_line", "n")
+    short = F.transform("_lines", lambda x: (F.length(F.trim(x)) > 0) & (F.length(F.trim(x)) < longest))
+    flagged = with_lines(docs, key, text).select(key, F.explode(F.array(short)).alias("_flags"))
+    runs = flagged.select(key, F.explode(runs_of("_flags")).alias("_r")).select(key, F.col("_r.first").alias("first_line"), (F.col("_r.last") - F.col("_r.first") + 1).cast("long").alias("n"))
+    return runs.where(F.col("n") >= least)
 
 
 def document_metrics(text: Column) -> list[Column]:
@@ -69,15 +94,24 @@ def document_metrics(text: Column) -> list[Column]:
     ]
 
 
+def table_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, table_no (from 1), row_no (the header is 0), line_no, cells, header of every pipe table; a table is a run
+    of lines between bars. Short rows are padded to the header's width and longer ones cut; rules aren't rows."""
+    piped = F.transform("_lines", lambda x: x.rlike(r"^\s*\|.*\|\s*$"))
+    flagged = with_lines(docs, key, text).select(key, "_lines", F.explode(F.array(piped)).alias("_flags"))
+    blocks = F.transform(runs_of("_flags"), lambda r: F.struct(r["first"].alias("first"), F.slice("_lines", r["first"], r["last"] - r["first"] + 1).alias("rows")))
+    tables = flagged.select(key, F.posexplode(blocks).alias("_t", "_b"))
+    split_row = lambda x: F.transform(F.split(F.regexp_replace(F.trim(x), r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
+    rows = tables.select(key, (F.col("_t") + 1).alias("table_no"), F.col("_b.first").alias("_first"), F.explode(F.array(split_row(F.get("_b.rows", F.lit(0))))).alias("header"), F.col("_b.rows").alias("_rows"))
+    rows = rows.select(key, "table_no", "_first", "header", F.posexplode("_rows").alias("row_no", "_line")).where(~F.col("_line").rlike(r"^[\s|:\-]+$"))
+    cells = split_row(F.col("_line"))
+    padded = F.slice(F.concat(cells, F.array_repeat(F.lit(""), F.greatest(F.size("header") - F.size(cells), F.lit(0)))), F.lit(1), F.size("header"))
+    return rows.select(key, "table_no", "row_no", (F.col("_first") + F.col("row_no")).alias("line_no"), padded.alias("cells"), "header")
+
+
 def table_cells(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, line_no, cells of the body rows of pipe tables; short rows are padded to the header's width."""
-    rows = lines(docs, key, text).where(F.col("line").rlike(r"^\s*\|.*\|\s*$"))
-    island = F.col("line_no") - F.row_number().over(Window.partitionBy(key).orderBy("line_no"))
-    cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
-    w = Window.partitionBy(key, "_table").orderBy("line_no")
-    told = rows.withColumn("_table", island).select(key, "line_no", "_table", cells.alias("cells"), F.col("line").rlike(r"^[\s|:\-]+$").alias("_rule")).withColumn("_rn", F.row_number().over(w)).withColumn("_width", F.first(F.size("cells")).over(w))
-    padded = F.slice(F.concat("cells", F.array_repeat(F.lit(""), F.greatest(F.col("_width") - F.size("cells"), F.lit(0)))), F.lit(1), F.col("_width"))
-    return told.where("_rn > 1 AND NOT _rule").select(key, "line_no", padded.alias("cells"))
+    return table_rows(docs, key, text).where("row_no > 0").select(key, "line_no", "cells")
 
 
 def front_matter(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from json.decoder import scanstring
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +71,75 @@ def shred(df: DataFrame, key: str) -> dict[str, DataFrame]:
     return tables
 
 
+UNREADABLE = object()
+_BLANK = regex.compile(r"[ \t\n\r]*+")
+_SCALAR = regex.compile(r"(-?(?:0|[1-9][0-9]*+))((?:\.[0-9]++)?(?:[eE][-+]?[0-9]++)?)|(true|false|null)")
+_CONSTANTS = {"true": True, "false": False, "null": None}
+
+
+def _whole(digits: str) -> int | str:
+    """A whole number; one too long for Python's conversion stays a text."""
+    return int(digits) if len(digits) < 4000 else digits
+
+
+def deep_json(text: str) -> object:
+    """What json.loads gives, for nesting of any depth; UNREADABLE if the text isn't JSON.
+
+    Open containers stand on a list of its own: (container, key of the member that comes next).
+    """
+    at = _BLANK.match(text, 0).end()
+    held: list[tuple[list | dict, str | None]] = []
+
+    def key_at(at: int) -> tuple[str, int]:
+        if text[at : at + 1] != '"':
+            raise ValueError(at)
+        key, at = scanstring(text, at + 1, True)
+        at = _BLANK.match(text, at).end()
+        if text[at : at + 1] != ":":
+            raise ValueError(at)
+        return key, _BLANK.match(text, at + 1).end()
+
+    try:
+        while True:
+            c = text[at : at + 1]
+            if c == "{" or c == "[":
+                value: object = {} if c == "{" else []
+                at = _BLANK.match(text, at + 1).end()
+                if text[at : at + 1] != ("}" if c == "{" else "]"):
+                    key, at = key_at(at) if c == "{" else (None, at)
+                    held.append((value, key))
+                    continue
+                at += 1
+            elif c == '"':
+                value, at = scanstring(text, at + 1, True)
+            else:
+                m = _SCALAR.match(text, at)
+                if not m:
+                    return UNREADABLE
+                value = _CONSTANTS[m[3]] if m[3] else float(m[0]) if m[2] else _whole(m[1])
+                at = m.end()
+            while True:  # value is complete: it goes into the innermost container, which may be complete by it
+                at = _BLANK.match(text, at).end()
+                if not held:
+                    return value if at == len(text) else UNREADABLE
+                inner, key = held.pop()
+                if isinstance(inner, dict):
+                    inner[key] = value
+                else:
+                    inner.append(value)
+                c = text[at : at + 1]
+                if c == ",":
+                    at = _BLANK.match(text, at + 1).end()
+                    key, at = key_at(at) if isinstance(inner, dict) else (None, at)
+                    held.append((inner, key))
+                    break
+                if c != ("}" if isinstance(inner, dict) else "]"):
+                    return UNREADABLE
+                value, at = inner, at + 1
+    except ValueError:
+        return UNREADABLE
+
+
 def walk_json(text: str | None, root_member: str, child_member: str, value_member: str) -> list[tuple[str, str]] | None:
     """Every object of a JSON tree as (label, value), in document order; None if the text is no readable tree.
 
@@ -83,8 +154,12 @@ def walk_json(text: str | None, root_member: str, child_member: str, value_membe
     if text is None:
         return None
     try:
-        tree = json.loads(text, parse_constant=refuse)
-    except (ValueError, RecursionError):
+        tree = json.loads(text, parse_constant=refuse, parse_int=_whole)
+    except RecursionError:
+        tree = deep_json(text)
+    except ValueError:
+        return None
+    if tree is UNREADABLE:
         return None
     if isinstance(tree, dict) and root_member in tree:
         tree = tree[root_member]

@@ -2,31 +2,144 @@
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import clean_text
 
-#: Families of proof techniques and a pattern for each.
+#: Families of proof techniques and their patterns, in lower-case text.
 TECHNIQUES = {
-    "induction": r"\binduction\b", "contradiction": r"by contradiction|contradicts", "coupling": r"\bcoupling\b", "concentration": r"concentration inequalit|\bhoeffding\b|\bbernstein\b", "chaining": r"\bchaining\b", "taylor expansion": r"taylor", "minimax": r"\bminimax\b",
-    "symmetrization": r"symmetri[sz]ation", "union bound": r"union bound", "fixed point": r"fixed[- ]point",
+    "Bernstein inequality": r"\bbernstein(?:'s)?\s+inequalit(?:y|ies)\b",
+    "Martingale argument": r"\bmartingale\s+(?:argument|method|approach)\b",
+    "Union bound": r"\bunion\s+bound\b",
+    "Chaining argument": r"\bchaining(?:\s+argument)?\b",
+    "Concentration inequality": r"\bconcentration\s+inequalit(?:y|ies)\b",
+    "Azuma-Hoeffding inequality": r"\bazuma(?:-|\s+)hoeffding\s+inequalit(?:y|ies)\b|\bhoeffding\s+inequalit(?:y|ies)\b",
+    "Doob decomposition": r"\bdoob(?:-|\s+)meyer\s+decomposition\b|\bdoob\s+decomposition\b",
+    "Gronwall inequality": r"\bgronwall\s+inequalit(?:y|ies)\b",
+    "Coupling argument": r"\bcoupling\s+argument\b",
+    "Fixed-point argument": r"\bfixed(?:-|\s+)point\s+argument\b",
 }
-#: What claim types a domain allows; the hybrid domain allows all.
+#: What claim types a domain allows; the hybrid domain allows what any of them does, and an unknown
+#: domain what the academic one does.
 CLAIM_TYPES = {
-    "academic": ["theorem", "method", "empirical", "assumption", "limitation"], "institutional": ["policy-recommendation", "projection", "empirical", "limitation"], "sell_side": ["supply-chain-fact", "company-thesis", "projection", "limitation"],
+    "academic": ["theorem", "assumption", "methodology", "empirical", "connection", "limitation", "data-availability", "code-availability"],
+    "institutional": ["policy-recommendation", "projection", "supply-chain-fact", "empirical", "connection", "limitation"],
+    "sell_side": ["company-thesis", "supply-chain-fact", "projection", "policy-recommendation", "connection", "limitation"],
 }
+#: What some fields may hold.
+CONFIDENCES = ["high", "medium", "low"]
+LINKED_STATES = ["in-corpus", "out-of-corpus"]
+VERIFIABILITY = ["independent", "same-publisher", "unattributed"]
+#: What surrounds a page's content, in the order it is taken out: elements by name, or by a word in
+#: their class or id.
+CHROME_SELECTORS = [
+    ("tag", "nav"), ("tag", "header"), ("tag", "footer"), ("class", "share"), ("class", "social"), ("class", "sidebar"),
+    ("class", "toc"), ("id", "toc"), ("class", "cookie"), ("id", "cookie"), ("class", "advertisement"), ("class", "banner"),
+]
 #: Fields that a claim of a type must have.
 CLAIM_FIELDS = {"policy-recommendation": ["recommended_to", "time_horizon", "driver"], "projection": ["scenario_label", "horizon_year", "base_value", "driver_assumptions"], "supply-chain-fact": ["attestation_source", "verifiability"], "company-thesis": ["ticker", "thesis_note", "tier", "geography"]}
 
 
+class _Page(HTMLParser):
+    """Text of a page's content root without chrome, and how many chrome elements went.
+
+    Elements go selector by selector, so one inside another counts unless the outer's selector came first.
+    """
+
+    VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+    ROOTS = ("article", "main", "body")
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.open: list[tuple[str, int | None]] = []  # names and selectors of the open elements
+        self.removed = 0
+        self.within: dict[str, int | None] = {}  # depth of each root's first element while it is open
+        self.pieces: list[tuple[tuple[bool, ...], str]] = []
+
+    @staticmethod
+    def selector(tag: str, attrs: list[tuple[str, str | None]]) -> int | None:
+        held = dict(attrs)
+        classes, own = held.get("class") or "", held.get("id") or ""
+        hits = [tag == w if kind == "tag" else w in (classes if kind == "class" else own) for kind, w in CHROME_SELECTORS]
+        return hits.index(True) if True in hits else None
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        own = self.selector(tag, attrs)
+        around = [k for _, k in self.open if k is not None]
+        if own is not None and all(k >= own for k in around):
+            self.removed += 1
+        if tag in self.VOID:
+            return
+        if tag in self.ROOTS and tag not in self.within and own is None and not around:
+            self.within[tag] = len(self.open)
+        self.open.append((tag, own))
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in self.VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        if not any(t == tag for t, _ in self.open):
+            return
+        while self.open:
+            last, _ = self.open.pop()
+            if self.within.get(last) == len(self.open):
+                self.within[last] = None
+            if last == tag:
+                return
+
+    def handle_data(self, data: str) -> None:
+        if not any(k is not None for _, k in self.open) and not (self.open and self.open[-1][0] in ("script", "style")):
+            self.pieces.append((tuple(self.within.get(r) is not None for r in self.ROOTS), data))
+
+    def root(self) -> str | None:
+        return next((r for r in self.ROOTS if r in self.within), None)
+
+    def content(self) -> str:
+        k = self.ROOTS.index(self.root()) if self.root() else None
+        return " ".join(" ".join(t for w, t in self.pieces if k is None or w[k]).split())
+
+
+def page_content(html: Column) -> Column:
+    """struct<content, removed, root>: the words of a page without what surrounds its content, from the first
+    article, else main, else body, else the whole; how many surrounding elements went; and the content root.
+
+    Elements are matched by their names and by words in their classes and ids. Nesting isn't regular, hence the
+    one Arrow function here; texts without any tag pass by it. Scripts and styles aren't words.
+    """
+
+    @F.pandas_udf("content string, removed int, root string")
+    def parsed(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in pages:
+            if page is None:
+                rows.append((None, None, None))
+                continue
+            p = _Page()
+            p.feed(page)
+            p.close()
+            rows.append((p.content(), p.removed, p.root() or "body"))
+        return pd.DataFrame(rows, columns=["content", "removed", "root"])
+
+    tagged = F.coalesce(html.rlike(r"<[A-Za-z]"), F.lit(False))
+    plain = F.struct(clean_text(html).alias("content"), F.lit(0).alias("removed"), F.lit("body").alias("root"))
+    return F.when(tagged, parsed(F.when(tagged, html))).when(html.isNotNull(), plain)
+
+
 def without_chrome(html: Column) -> list[Column]:
-    """The text of a page without navigation, header, footer, scripts and styles, and how many blocks went."""
-    chrome = r"(?is)<(nav|header|footer|script|style|aside)(?:\s[^>]*)?>.*?</\1>"
-    body = F.regexp_replace(html, chrome, " ")
-    main = F.coalesce(*(F.when(F.regexp_extract(body, p, 1) != "", F.regexp_extract(body, p, 1)) for p in (r"(?is)<article(?:\s[^>]*)?>(.*?)</article>", r"(?is)<main(?:\s[^>]*)?>(.*?)</main>", r"(?is)<body(?:\s[^>]*)?>(.*?)</body>")), body)
-    return [clean_text(F.regexp_replace(main, r"(?s)<[^>]+>", " ")).alias("content"), F.regexp_count(html, F.lit(chrome)).alias("removed")]
+    """The text of a page without navigation, header and footer, by patterns alone, and how many went: the way
+    without a parser. The content root isn't looked for; an element ends at the first end tag of its name."""
+    body, removed = html, F.lit(0)
+    for tag in (w for kind, w in CHROME_SELECTORS if kind == "tag"):
+        pattern = rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}>"
+        removed = removed + F.regexp_count(body, F.lit(pattern))
+        body = F.regexp_replace(body, pattern, "")
+    return [body.alias("content"), removed.alias("removed")]
 
 
 def exhibit_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -42,9 +155,12 @@ def exhibit_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def market_cap(x: Column) -> Column:
-    """Billions: the first number with its unit; thousands of billions for T."""
-    number = F.regexp_extract(x, r"([0-9]+(?:\.[0-9]+)?)\s*(?:T|B|tn|bn)", 1).try_cast("double")
-    return F.when(F.regexp_extract(x, r"[0-9]\s*(T|tn)", 1) != "", number * 1000).otherwise(number)
+    """Billions: the first number with a unit, in any case; thousands of billions for trillions. Null for a null, an
+    empty text and NA."""
+    pattern = r"(?i)([0-9]{1,6}(?:\.[0-9]+)?)\s*(?:B|bn|billion|T|tn|trillion)"
+    found = F.regexp_extract(x, pattern, 0)
+    number = F.regexp_extract(x, pattern, 1).try_cast("double")
+    return F.when(F.coalesce(x, F.lit("")).isin("", "NA") | (found == ""), F.lit(None)).when(F.lower(found).contains("t"), number * 1000).otherwise(number)
 
 
 def technique_hits(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -54,27 +170,37 @@ def technique_hits(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def notation(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, symbol, uses of inline formulas of up to 40 characters."""
-    return docs.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"(?<!\$)\$([^$\n]{1,40})\$(?!\$)"), F.lit(1))).alias("symbol")).groupBy(key, "symbol").agg(F.count(F.lit(1)).alias("uses"))
+    """key, symbol, uses of inline formulas."""
+    return docs.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"(?<!\$)\$([^$\n]+)\$(?!\$)"), F.lit(1))).alias("symbol")).groupBy(key, "symbol").agg(F.count(F.lit(1)).alias("uses"))
 
 
 def claim_violations(claims: DataFrame) -> DataFrame:
-    """cite_key, claim_no, rule of claims (cite_key, claim_no, domain, type, fields as a map, locator).
+    """cite_key, claim_no, rule of claims (cite_key, claim_no, domain, type, fields as a map, anchor as a struct of
+    locator and confidence).
 
-    A type must be allowed in its domain, an academic one if none is given; its fields must be there and not
-    blank; a claim without a locator is reported for that alone.
+    A type must be known, and allowed in its domain; a claim without an anchor is reported for its type and that
+    alone; else the anchor needs a locator and a known confidence, a connection the state of the paper it links,
+    and each type its own fields. A null domain is the academic one.
     """
     domain = F.coalesce("domain", F.lit("academic"))
     every = sorted({t for v in CLAIM_TYPES.values() for t in v})
-    allowed = F.when(domain == "hybrid", F.col("type").isin(every))
+    allowed = F.when(domain == "hybrid", F.lit(True))
     for name, types in CLAIM_TYPES.items():
         allowed = allowed.when(domain == name, F.col("type").isin(types))
-    allowed = F.coalesce(allowed.otherwise(False), F.lit(False))
-    missing = [
-        F.when((F.col("type") == t) & (F.coalesce(F.trim(F.element_at("fields", F.lit(f))), F.lit("")) == ""), F.lit(f"missing {f}")) for t, fields in CLAIM_FIELDS.items() for f in fields
+    allowed = allowed.otherwise(F.col("type").isin(CLAIM_TYPES["academic"]))
+    known = F.coalesce(F.col("type").isin(every), F.lit(False))
+    has = lambda f: F.coalesce(F.map_contains_key("fields", F.lit(f)), F.lit(False))
+    value = lambda f: F.element_at("fields", F.lit(f))
+    rule = lambda condition, name: F.when(F.coalesce(condition, F.lit(False)), F.lit(name))
+    typed = [rule(~known, "invalid type"), rule(known & ~allowed, "type not allowed in domain")]
+    anchored = [
+        rule(F.coalesce("anchor.locator", F.lit("")) == "", "missing locator"), rule(~F.coalesce(F.col("anchor.confidence"), F.lit("")).isin(CONFIDENCES), "invalid confidence"),
+        rule((F.col("type") == "connection") & ~F.coalesce(value("linked_paper_status"), F.lit("")).isin(LINKED_STATES), "missing linked_paper_status"),
+        *(rule((F.col("type") == t) & ~has(f), f"missing {f}") for t, fields in CLAIM_FIELDS.items() for f in fields),
+        rule((F.col("type") == "supply-chain-fact") & has("verifiability") & ~F.coalesce(value("verifiability"), F.lit("")).isin(VERIFIABILITY), "invalid verifiability"),
     ]
-    rules = F.when(F.coalesce(F.trim("locator"), F.lit("")) == "", F.array(F.lit("missing locator"))).otherwise(F.array_compact(F.array(F.when(~allowed, F.lit("type not allowed in domain")), *missing)))
-    return claims.select("cite_key", "claim_no", F.explode(rules).alias("rule"))
+    rules = F.when(F.col("anchor").isNull(), F.array(*typed, F.lit("missing source_anchor"))).otherwise(F.array(*typed, *anchored))
+    return claims.select("cite_key", "claim_no", F.explode(F.array_compact(rules)).alias("rule"))
 
 
 def claim_status(scoped: Column, broad: Column, contradicted: Column) -> Column:
@@ -83,9 +209,9 @@ def claim_status(scoped: Column, broad: Column, contradicted: Column) -> Column:
 
 
 def faithfulness(total: Column, flagged: Column, missing: Column) -> Column:
-    """Confidence from the shares of flagged and missing claims."""
-    a, b = flagged / F.greatest(total, F.lit(1)), missing / F.greatest(total, F.lit(1))
-    return F.when((a == 0) & (b <= 0.1), "high").when((a <= 0.35) & (b <= 0.5), "medium").otherwise("low")
+    """Confidence from the shares of flagged and missing claims; low without claims."""
+    a, b = flagged / F.when(total > 0, total), missing / F.when(total > 0, total)
+    return F.when(total == 0, "low").when((a == 0) & (b <= 0.1), "high").when((a <= 0.35) & (b <= 0.5), "medium").otherwise("low")
 
 
 def resegmentation(segments: DataFrame, group: str, order: str, size: Column, most: int, least: int) -> DataFrame:

@@ -36,19 +36,49 @@ def query(sql: str | None = None):
 def discovery_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship: five sources to a ranked list (a top-k report, so the limit is the feature)."""
     records = discovery.normalized_records(*(table(spark, folder, f"{x}_results") for x in discovery.SOURCES))
-    return discovery.ranked_works(records, ["W2000506014", "pmid:10216575"], KEYWORDS, 2015, 2026, 30)
+    return discovery.ranked_works(records, ["W2000506014", "pmid:10216575"], KEYWORDS, 2015, 2026, 30, repeated="keep")
 
 
 @query()
 def discovery_violations(spark: SparkSession, folder: str) -> DataFrame:
     records = discovery.normalized_records(*(table(spark, folder, f"{x}_results") for x in discovery.SOURCES))
-    return discovery.manifest_violations(discovery.ranked_works(records, ["W2000506014"], KEYWORDS, 2015, 2026, None))
+    return discovery.manifest_violations(discovery.ranked_works(records, ["W2000506014"], KEYWORDS, 2015, 2026, None, repeated="keep"))
 
 
-@query()
+#: SQL of the identifiers of the records with a title, in the five dialects, by record; written apart from the
+#: expressions it checks.
+_IDENTIFIERS = r"""raw AS (
+    SELECT rec_id, title, coalesce(nullif(arxiv_id, ''), nullif(id, '')) AS ax, doi AS d, CAST(NULL AS VARCHAR) AS w, pmid AS p FROM zotero_results
+    UNION ALL SELECT rec_id, title, id, NULL, NULL, NULL FROM arxiv_results
+    UNION ALL SELECT rec_id, title, ids.arxiv, coalesce(nullif(doi, ''), nullif(ids.doi, '')), coalesce(nullif(id, ''), nullif(ids.openalex, '')), ids.pmid FROM openalex_results
+    UNION ALL SELECT rec_id, title, url, url, url, NULL FROM web_results
+    UNION ALL SELECT rec_id, title, NULL, doi, NULL, coalesce(nullif(pmid, ''), nullif(uid, '')) FROM pubmed_results),
+kept AS (SELECT rec_id, trim(ax) AS ax, regexp_replace(regexp_replace(lower(trim(d)), '^https?://(dx\.)?doi\.(org|example)/', ''), '^doi:\s*', '') AS d,
+        regexp_replace(regexp_replace(lower(trim(ax)), '^https?://(dx\.)?doi\.(org|example)/', ''), '^doi:\s*', '') AS axd, w, p, regexp_replace(lower(trim(p)), '^(pmid|pubmed)\s*:\s*', '') AS pb
+    FROM raw WHERE regexp_replace(coalesce(title, ''), '[\s\x{A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+', '', 'g') <> ''),
+idents AS (SELECT rec_id, CASE WHEN NOT (regexp_full_match(axd, '10\.[0-9]{4,9}/\S+') AND NOT contains(lower(ax), 'arxiv')) THEN coalesce(nullif(regexp_extract(ax, '([0-9]{4}\.[0-9]{4,5})', 1), ''), nullif(regexp_extract(ax, '(?i)arxiv[:/ ]([a-z\-.]+/[0-9]{7})', 1), '')) END AS arxiv_id,
+        CASE WHEN regexp_full_match(d, '10\.[0-9]{4,9}/\S+') THEN d END AS doi, upper(nullif(regexp_extract(w, '(?i)(w[0-9]+)', 1), '')) AS openalex_id,
+        CASE WHEN regexp_full_match(pb, '[0-9]{5,12}') THEN pb WHEN contains(lower(p), 'pmid') OR contains(lower(p), 'pubmed') THEN nullif(regexp_extract(pb, '([0-9]{5,12})', 1), '') END AS pmid FROM kept)"""
+
+
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return discovery.normalized_records(*(table(spark, folder, f"{x}_results") for x in discovery.SOURCES))
+
+
+@query(f"WITH {_IDENTIFIERS} SELECT rec_id AS rid, arxiv_id, doi, openalex_id, pmid FROM idents")
+def discovery_identifiers(spark: SparkSession, folder: str) -> DataFrame:
+    """The identifiers that the five dialects give, of every record with a title."""
+    return _records(spark, folder).select("rid", *discovery.KINDS)
+
+
+@query(
+    f"""WITH RECURSIVE {_IDENTIFIERS}, named AS (SELECT rec_id, 'a' || arxiv_id AS v FROM idents WHERE arxiv_id IS NOT NULL UNION SELECT rec_id, 'd' || doi FROM idents WHERE doi IS NOT NULL UNION SELECT rec_id, 'o' || openalex_id FROM idents WHERE openalex_id IS NOT NULL UNION SELECT rec_id, 'p' || pmid FROM idents WHERE pmid IS NOT NULL),
+    star AS (SELECT rec_id, min(rec_id) OVER (PARTITION BY v) AS low FROM named), l AS (SELECT DISTINCT rec_id AS u, low AS v FROM star UNION SELECT DISTINCT low, rec_id FROM star),
+    r AS (SELECT u AS node, u AS seen FROM l UNION SELECT r.node, l.v FROM r JOIN l ON r.seen = l.u), c AS (SELECT node, min(seen) AS low FROM r GROUP BY node)
+    SELECT rec_id AS rid, '0' || lpad(CAST(coalesce(low, rec_id) AS VARCHAR), 19, '0') AS "group" FROM idents LEFT JOIN c ON node = rec_id"""
+)
 def discovery_groups(spark: SparkSession, folder: str) -> DataFrame:
-    records = discovery.normalized_records(*(table(spark, folder, f"{x}_results") for x in discovery.SOURCES))
-    return discovery.identifier_groups(records)
+    return discovery.identifier_groups(_records(spark, folder))
 
 
 @query(
@@ -158,12 +188,11 @@ def arxiv_cleaners(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     r"""SELECT doc_id, len([x for x in regexp_split_to_array(text, '\r?\n') if starts_with(x, '## ')]) AS sections, len([x for x in regexp_split_to_array(text, '[ \t\r\n]+') if x <> '']) AS words,
-    CAST(floor((length(text) - length(replace(text, '$$', ''))) / 2 / 2) AS BIGINT) AS equations, CAST(floor(length(text) / 4) AS BIGINT) AS token_estimate FROM documents WHERE text IS NOT NULL"""
+    CAST(floor((length(text) - length(replace(text, '$$', ''))) / 2 / 2) AS BIGINT) AS equations, CAST(floor(length(text) / 4) AS BIGINT) AS token_estimate,
+    ((length(text) - length(replace(text, '$$', ''))) / 2) % 2 = 0 AND length(replace(text, '$$', '')) % 2 = length(replace(replace(text, '$$', ''), '$', '')) % 2 AS balanced FROM documents WHERE text IS NOT NULL"""
 )
 def doc_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    wanted = {"sections", "words", "equations", "token_estimate"}
-    d = table(spark, folder, "documents").where("text IS NOT NULL")
-    return d.select("doc_id", *docs_.document_metrics(F.col("text"))).select("doc_id", *sorted(wanted))
+    return table(spark, folder, "documents").where("text IS NOT NULL").select("doc_id", *docs_.document_metrics(F.col("text")))
 
 
 @query(
@@ -187,7 +216,7 @@ def claim_overlap(spark: SparkSession, folder: str) -> DataFrame:
     return tab.overlap_matches(claims, table(spark, folder, "zotero_results").select(F.col("rec_id").alias("note_id"), tokens.alias("tokens")))
 
 
-@query(r"""SELECT mark, min(doc_id) AS doc_id, count(*) AS n FROM (SELECT doc_id, substr(lower(trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'))), 1, 120) AS mark FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\x00-\x7F]')) t WHERE mark <> '' GROUP BY mark""")
+@query(r"""SELECT mark, min(doc_id) AS doc_id, count(*) AS n FROM (SELECT doc_id, substr(lower(trim(regexp_replace(text, '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'))), 1, 120) AS mark FROM documents WHERE text IS NOT NULL) t WHERE mark <> '' GROUP BY mark""")
 def near_dup_prefix(spark: SparkSession, folder: str) -> DataFrame:
     return docs_.prefix_distinct(table(spark, folder, "documents"), "doc_id", "text")
 
@@ -198,8 +227,8 @@ def status_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, CASE WHEN contains(t, 'we propose') OR contains(t, 'we introduce') OR contains(t, 'our contribution') OR contains(t, 'this paper') THEN 'CONTRIBUTION' WHEN contains(t, 'however') OR contains(t, 'remains open') OR contains(t, 'lack') OR contains(t, 'no existing') THEN 'GAP'
-    WHEN contains(t, 'et al') OR contains(t, 'prior work') OR contains(t, 'previous') OR contains(t, 'earlier') THEN 'PRIOR_WORK' WHEN contains(t, 'important') OR contains(t, 'motivat') OR contains(t, 'challenge') THEN 'MOTIVATION' WHEN contains(t, 'section ') OR contains(t, 'organized') OR contains(t, 'rest of') THEN 'ROADMAP' ELSE 'BACKGROUND' END AS block
+    """SELECT doc_id, CASE WHEN regexp_matches(t, 'we propose|we introduce|our contribution|in this paper, we') THEN 'CONTRIBUTION' WHEN regexp_matches(t, 'however|limitation|gap|missing|fails to|lack of') THEN 'GAP' WHEN regexp_matches(t, 'previous work|prior work|has been studied|et al\\.') THEN 'PRIOR_WORK'
+    WHEN regexp_matches(t, 'motivated by|challenge|difficulty|problem of') THEN 'MOTIVATION' WHEN regexp_matches(t, 'the rest of this paper|section|organized as follows|outline') THEN 'ROADMAP' ELSE 'BACKGROUND' END AS block
     FROM (SELECT doc_id, lower(text) AS t FROM documents WHERE text IS NOT NULL) d"""
 )
 def block_class(spark: SparkSession, folder: str) -> DataFrame:
@@ -294,7 +323,11 @@ def sort_check(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "segment_entries").select("seg_uid", "updated_at", before.alias("before")).where("before > updated_at").select("seg_uid")
 
 
-@query()
+@query(
+    """WITH e AS (SELECT rec_id, map_keys(abstract_inverted_index) AS k, map_values(abstract_inverted_index) AS v FROM openalex_results WHERE abstract_inverted_index IS NOT NULL), w AS (SELECT rec_id, unnest(k) AS word, unnest(v) AS places, generate_subscripts(k, 1) AS i FROM e),
+    p AS (SELECT rec_id, word, i, unnest(places) AS pos FROM w), u AS (SELECT rec_id, pos, arg_max(word, i) AS word FROM p GROUP BY rec_id, pos)
+    SELECT e.rec_id, coalesce(string_agg(word, ' ' ORDER BY pos), '') AS abstract FROM e LEFT JOIN u ON u.rec_id = e.rec_id GROUP BY e.rec_id"""
+)
 def inverted_abstract(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "openalex_results").where("abstract_inverted_index IS NOT NULL").select("rec_id", ids.inverted_abstract(F.col("abstract_inverted_index")).alias("abstract"))
 
@@ -312,7 +345,7 @@ def best_match_argmax(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT c_custkey, CASE WHEN m % 4 = 0 THEN code || '.SH' WHEN m % 4 = 1 THEN code || '.HK' WHEN m % 4 = 2 THEN 'T' || code ELSE 'X?' || code END AS ticker, CASE WHEN m % 4 IN (0, 1) THEN 'mapped_exchange' WHEN m % 4 = 2 THEN 'us_bare' ELSE 'preserved_unknown' END AS kind
-    FROM (SELECT c_custkey, c_custkey AS m, CASE WHEN c_custkey % 4 = 0 THEN '6' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') WHEN c_custkey % 4 = 1 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE CAST(c_custkey AS VARCHAR) END AS code FROM customer WHERE c_custkey < 90000) t"""
+    FROM (SELECT c_custkey, c_custkey AS m, CASE WHEN c_custkey % 4 = 0 THEN '6' || lpad(CAST(c_custkey % 90000 AS VARCHAR), 5, '0') WHEN c_custkey % 4 = 1 THEN lpad(CAST(c_custkey % 90000 AS VARCHAR), 5, '0') ELSE CAST(c_custkey AS VARCHAR) END AS code FROM customer) t"""
 )
 def ticker_forms(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("c_custkey")
@@ -341,7 +374,11 @@ def theorem_index(spark: SparkSession, folder: str) -> DataFrame:
     return docs_.environments(table(spark, folder, "documents").where("text IS NOT NULL"), "doc_id", F.col("text"), ["theorem", "lemma"])
 
 
-@query()
+@query(
+    rf"""WITH l AS (SELECT doc_id, line_no, line, line_no - row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS g FROM ({_LINES}) x WHERE regexp_full_match(line, '\s*\|.*\|\s*')),
+    c AS (SELECT *, [trim(y) FOR y IN string_split(regexp_replace(trim(line), '^\||\|$', '', 'g'), '|')] AS cells, row_number() OVER (PARTITION BY doc_id, g ORDER BY line_no) AS rn FROM l), h AS (SELECT *, first_value(len(cells)) OVER (PARTITION BY doc_id, g ORDER BY line_no) AS w FROM c)
+    SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(list_resize(cells, w, '') AS VARCHAR[]) AS cells FROM h WHERE rn > 1 AND NOT regexp_full_match(line, '[\s|:\-]+')"""
+)
 def table_cells(spark: SparkSession, folder: str) -> DataFrame:
     return docs_.table_cells(table(spark, folder, "documents").where("text IS NOT NULL"), "doc_id", "text")
 
@@ -383,36 +420,41 @@ def shared_tags(spark: SparkSession, folder: str) -> DataFrame:
     return tags("zotero_results", "a").join(tags("web_results", "b"), "tag").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")).where("shared >= 2")
 
 
-@query("SELECT rec_id, '@article{' || uid || ', title={' || trim(regexp_replace(title, '[ \t\n\r]+', ' ', 'g')) || '}, year={' || regexp_extract(pubdate, '((?:19|20)[0-9]{2})', 1) || '}}' AS entry FROM pubmed_results WHERE title IS NOT NULL AND pubdate IS NOT NULL AND NOT regexp_matches(title, '[^\\x00-\\x7F]')")
+@query(
+    r"""WITH c AS (SELECT rec_id, coalesce(uid, 'rec' || rec_id) AS k, regexp_replace(trim(regexp_replace(coalesce(title, ''), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')), '([&%#_])', '\\\1', 'g') AS t, regexp_extract(coalesce(pubdate, ''), '((?:19|20)[0-9]{2})', 1) AS y FROM pubmed_results)
+    SELECT rec_id, '@article{' || k || E',\n' || concat_ws(E',\n', CASE WHEN t <> '' THEN '  title = {' || t || '}' END, CASE WHEN y <> '' THEN '  year = {' || y || '}' END) || E'\n}' AS entry FROM c"""
+)
 def bibtex_entries(spark: SparkSession, folder: str) -> DataFrame:
     year = F.regexp_extract("pubdate", "((?:19|20)[0-9]{2})", 1)
     return table(spark, folder, "pubmed_results").select("rec_id", sinks.bibtex(F.coalesce(F.col("uid"), F.concat(F.lit("rec"), F.col("rec_id").cast("string"))), F.lit("article"), {"title": clean_text(F.col("title")), "year": year}).alias("entry"))
 
 
 @query(
-    r"""SELECT doc_id, len(regexp_extract_all(text, '(?is)<nav(?:\s[^>]*)?>.*?</nav>|<header(?:\s[^>]*)?>.*?</header>|<footer(?:\s[^>]*)?>.*?</footer>|<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>|<aside(?:\s[^>]*)?>.*?</aside>')) AS removed FROM documents WHERE text IS NOT NULL"""
+    r"""WITH a AS (SELECT doc_id, text, regexp_replace(text, '(?is)<nav(?:\s[^>]*)?>.*?</nav>', '', 'g') AS t1 FROM documents WHERE text IS NOT NULL), b AS (SELECT *, regexp_replace(t1, '(?is)<header(?:\s[^>]*)?>.*?</header>', '', 'g') AS t2 FROM a)
+    SELECT doc_id, regexp_replace(t2, '(?is)<footer(?:\s[^>]*)?>.*?</footer>', '', 'g') AS content, CAST(len(regexp_extract_all(text, '(?is)<nav(?:\s[^>]*)?>.*?</nav>')) + len(regexp_extract_all(t1, '(?is)<header(?:\s[^>]*)?>.*?</header>')) + len(regexp_extract_all(t2, '(?is)<footer(?:\s[^>]*)?>.*?</footer>')) AS INTEGER) AS removed FROM b"""
 )
 def html_chrome(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").where("text IS NOT NULL")
-    return d.select("doc_id", *review.without_chrome(F.col("text"))).select("doc_id", "removed")
+    """Pages without their navigation, headers and footers, by patterns."""
+    return table(spark, folder, "documents").where("text IS NOT NULL").select("doc_id", *review.without_chrome(F.col("text")))
 
 
 @query()
 def html_content(spark: SparkSession, folder: str) -> DataFrame:
-    """What html_chrome leaves of every text; a query of its own, as the SQL of html_chrome has no such column."""
-    d = table(spark, folder, "documents").where("text IS NOT NULL")
-    return d.select("doc_id", *review.without_chrome(F.col("text")))
+    """The words of every page without what surrounds its content, by a parser: classes and ids count too."""
+    d = table(spark, folder, "documents").where("text IS NOT NULL").select("doc_id", review.page_content(F.col("text")).alias("p"))
+    return d.select("doc_id", "p.content", "p.removed", "p.root")
 
 
 @query(
-    r"""SELECT doc_id, technique FROM documents, (VALUES ('induction', '\binduction\b'), ('contradiction', 'by contradiction|contradicts'), ('coupling', '\bcoupling\b'), ('concentration', 'concentration inequalit|\bhoeffding\b|\bbernstein\b'), ('chaining', '\bchaining\b'), ('taylor expansion', 'taylor'), ('minimax', '\bminimax\b'),
-    ('symmetrization', 'symmetri[sz]ation'), ('union bound', 'union bound'), ('fixed point', 'fixed[- ]point')) t(technique, p) WHERE text IS NOT NULL AND regexp_matches(lower(text), p)"""
+    r"""SELECT DISTINCT doc_id, technique FROM documents, (VALUES ('Bernstein inequality', '\bbernstein(?:''s)?\s+inequalit(?:y|ies)\b'), ('Martingale argument', '\bmartingale\s+(?:argument|method|approach)\b'), ('Union bound', '\bunion\s+bound\b'), ('Chaining argument', '\bchaining(?:\s+argument)?\b'), ('Concentration inequality', '\bconcentration\s+inequalit(?:y|ies)\b'),
+    ('Azuma-Hoeffding inequality', '\bazuma(?:-|\s+)hoeffding\s+inequalit(?:y|ies)\b'), ('Azuma-Hoeffding inequality', '\bhoeffding\s+inequalit(?:y|ies)\b'), ('Doob decomposition', '\bdoob(?:-|\s+)meyer\s+decomposition\b'), ('Doob decomposition', '\bdoob\s+decomposition\b'), ('Gronwall inequality', '\bgronwall\s+inequalit(?:y|ies)\b'),
+    ('Coupling argument', '\bcoupling\s+argument\b'), ('Fixed-point argument', '\bfixed(?:-|\s+)point\s+argument\b')) t(technique, p) WHERE text IS NOT NULL AND regexp_matches(lower(text), p)"""
 )
 def proof_techniques(spark: SparkSession, folder: str) -> DataFrame:
     return review.technique_hits(table(spark, folder, "documents").where("text IS NOT NULL"), "doc_id", "text")
 
 
-@query()
+@query(r"SELECT doc_id, symbol, count(*) AS uses FROM (SELECT doc_id, unnest(regexp_extract_all(replace(text, '$$', E'\n\n'), '\$([^$\n]+)\$', 1)) AS symbol FROM documents WHERE text IS NOT NULL) t GROUP BY doc_id, symbol")
 def notation_uses(spark: SparkSession, folder: str) -> DataFrame:
     return review.notation(table(spark, folder, "documents").where("text IS NOT NULL"), "doc_id", F.col("text"))
 
@@ -459,8 +501,10 @@ def reader_routes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_custkey % 50 AS DOUBLE) ELSE (c_custkey % 50) * 1000.0 END AS cap FROM customer"""
+    """SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN c_custkey % 50 WHEN 1 THEN (c_custkey % 50) * 1000.0 WHEN 2 THEN c_custkey % 50 WHEN 3 THEN (c_custkey % 50) * 1000.0 WHEN 4 THEN c_custkey % 50 + 0.5 WHEN 5 THEN (c_custkey % 50) * 1000.0 END AS cap FROM customer"""
 )
 def market_caps(spark: SparkSession, folder: str) -> DataFrame:
-    text = F.concat(F.lit("about "), (F.col("c_custkey") % 50).cast("string"), F.when(F.col("c_custkey") % 2 == 0, " bn").otherwise("T"))
-    return table(spark, folder, "customer").select("c_custkey", review.market_cap(text).alias("cap"))
+    """The customers' keys written as market caps in every spelling: bn, T, BILLION, trillion, b, Tn, no unit, NA."""
+    k = (F.col("c_custkey") % 50).cast("string")
+    spelt = [F.concat(F.lit("about "), k, F.lit(" bn")), F.concat(F.lit("$"), k, F.lit("T")), F.concat(k, F.lit(" BILLION")), F.concat(k, F.lit("trillion dollars")), F.concat(k, F.lit(".5b")), F.concat(k, F.lit(" Tn")), F.concat(k, F.lit(" euros")), F.lit("NA")]
+    return table(spark, folder, "customer").select("c_custkey", review.market_cap(F.get(F.array(*spelt), (F.col("c_custkey") % 8).cast("int"))).alias("cap"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,17 +20,22 @@ def existing(paths: list[str]) -> list[str]:
 
 
 def json_records(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """Records of JSON files of any accepted shape: a list, an object with a list under one of LIST_MEMBERS, or
-    one object. Columns of `schema` and file_order, row_order for the order of reading.
+    """Records of JSON files of any accepted shape: a list, an object with a list under one of LIST_MEMBERS (the
+    first that is one), or one object without any list. Columns of `schema` and file_order, row_order for the
+    order of reading, files as `paths` names them.
 
-    Texts that aren't JSON, and other shapes, give no rows; missing members are null.
+    Elements that are no objects are dropped and count for no order; texts that aren't JSON, and other shapes, give
+    no rows; missing members are null.
     """
-    files = spark.read.text(existing(paths), wholetext=True).select(F.col("_metadata.file_path").alias("_path"), F.try_parse_json("value").alias("_v"))
-    order = {Path(p).name: i for i, p in enumerate(paths)}
-    numbered = F.create_map(*(x for k, v in order.items() for x in (F.lit(k), F.lit(v))))
-    lists = [F.try_variant_get("_v", "$", "array<variant>"), *(F.try_variant_get("_v", f"$.{m}", "array<variant>") for m in LIST_MEMBERS)]
-    alone = F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.array("_v"))
-    rows = files.select(F.element_at(numbered, F.element_at(F.split("_path", "/"), -1)).alias("file_order"), F.posexplode(F.coalesce(*lists, alone)).alias("row_order", "_r"))
+    read = lambda p: spark.read.text(p, wholetext=True).select(F.try_parse_json("value").alias("_v"))
+    files = functools.reduce(DataFrame.unionByName, [read(p).withColumn("file_order", F.lit(i)) for i, p in enumerate(existing(paths))])
+    is_list = lambda v: F.schema_of_variant(v).startswith("ARRAY")
+    member = lambda m: F.try_variant_get("_v", f"$.{m}", "variant")
+    lists = [F.when(is_list(F.col("_v")), F.try_variant_get("_v", "$", "array<variant>")), *(F.when(is_list(member(m)), F.try_variant_get("_v", f"$.{m}", "array<variant>")) for m in LIST_MEMBERS)]
+    members = F.map_values(F.try_variant_get("_v", "$", "map<string, variant>"))
+    alone = F.when(F.schema_of_variant("_v").startswith("OBJECT") & ~F.coalesce(F.exists(members, lambda m: F.coalesce(is_list(m), F.lit(False))), F.lit(False)), F.array("_v"))
+    objects = F.filter(F.coalesce(*lists, alone), lambda r: F.coalesce(F.schema_of_variant(r).startswith("OBJECT"), F.lit(False)))
+    rows = files.select("file_order", F.posexplode(objects).alias("row_order", "_r"))
     return rows.select("file_order", "row_order", F.from_json(F.to_json("_r"), schema).alias("_s")).select("_s.*", "file_order", "row_order")
 
 

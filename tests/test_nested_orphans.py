@@ -88,3 +88,20 @@ def test_orphans(spark):
     }
     empty = orphans.catalog_orphans(*(f.limit(0) for f in (openalex, pubmed, catalogs, segments, gone)))
     assert empty.collect() == []
+
+
+def test_json_of_any_depth():
+    from quillspark.operators.nested import UNREADABLE, deep_json, walk_json
+
+    deep = "[" * 20_000 + "]" * 20_000
+    assert walk_json('{"x": ' + deep + ', "sections": [{"id": "a"}]}', "sections", "children", "id") == [("1", "a")]
+    tree = '[{"id":"s","children":' * 5000 + "[]" + "}]" * 5000
+    found = walk_json(tree, "sections", "children", "id")
+    assert len(found) == 5000 and found[-1] == (".".join(["1"] * 5000), "s")
+    assert walk_json(deep[:-1], "sections", "children", "id") is None and walk_json(deep + "x", "sections", "children", "id") is None
+    for text in ('{"a": [1, -2.5e3, "b\\u00e9\\n", true, null, {}], "c": {"d": []}}', " [ ] ", '"x"', "0", "[01]", "[1,]", '{"a":1,}', "[NaN]", '{"a" 1}', "{1:2}", "", "tru"):
+        try:
+            want = json.loads(text, parse_constant=lambda c: 1 / 0)
+        except (ValueError, ZeroDivisionError):
+            want = UNREADABLE
+        assert deep_json(text) == want

@@ -11,9 +11,20 @@ from quillspark.operators import documents, review, tabular
 
 def test_page_chrome(spark):
     html = "<html><nav class='a'>Menu</nav><body><header>H</header><article><p>Real &amp; text</p></article><footer>F</footer></body></html>"
-    df = spark.createDataFrame([(1, html), (2, None), (3, "plain")], "i int, html string")
+    df = spark.createDataFrame([(1, html), (2, None), (3, "plain"), (4, "")], "i int, html string")
     rows = {r["i"]: r for r in df.select("i", *review.without_chrome(F.col("html"))).collect()}
-    assert rows[1]["content"] == "Real &amp; text" and rows[1]["removed"] == 3 and rows[3]["content"] == "plain" and rows[2]["removed"] is None
+    assert rows[1]["content"] == "<html><body><article><p>Real &amp; text</p></article></body></html>" and rows[1]["removed"] == 3
+    assert rows[3]["content"] == "plain" and rows[2]["content"] is None and rows[4]["content"] == ""
+
+
+def test_page_content_by_selectors(spark):
+    page = "<body class=x><div class='social-links'><nav>a</nav>b</div><nav><header>c</header></nav><header>d<nav>e</nav></header><p id=toc1>f</p><main>Kept <b>words</b> &lt;<br class='banner'/> here<aside>too</aside><script>no()</script></main>tail<div class='article-share'>g"
+    rows = [(1, page), (2, None), (3, "no  markup"), (4, ""), (5, "<article>one <nav>x</nav>two</article><main>three</main>"), (6, "<p>un<b>closed")]
+    got = {r["i"]: r["p"] for r in spark.createDataFrame(rows, "i int, html string").select("i", review.page_content(F.col("html")).alias("p")).collect()}
+    # nav in social goes first and counts; header in nav is gone before its turn; nav in header counts
+    assert tuple(got[1]) == ("Kept words < here too", 8, "main")
+    assert got[2] is None and tuple(got[3]) == ("no markup", 0, "body") and tuple(got[4]) == ("", 0, "body")
+    assert tuple(got[5]) == ("one two", 1, "article") and tuple(got[6]) == ("un closed", 0, "body")
 
 
 def test_exhibits(spark):
@@ -21,19 +32,26 @@ def test_exhibits(spark):
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "d int, t string")
     rows = review.exhibit_rows(df, "d", "t").orderBy("line_no").collect()
     assert [(r["exhibit"], r["title"], r["ticker"], len(r["fields"])) for r in rows] == [(1, "Sensors", "AAPL", 8), (1, "Sensors", "0700.HK", 6)]
-    caps = spark.createDataFrame([("$3.1T",), ("400bn",), ("none",), (None,)], "x string").select(review.market_cap(F.col("x"))).collect()
-    assert [c[0] for c in caps] == [3100.0, 400.0, None, None]
+    caps = spark.createDataFrame([("$3.1T",), ("400bn",), ("none",), (None,), ("3 billion",), ("2 Trillion",), ("5 b",), ("NA",), ("",)], "x string").select(review.market_cap(F.col("x"))).collect()
+    assert [c[0] for c in caps] == [3100.0, 400.0, None, None, 3.0, 2000.0, 5.0, None, None]
 
 
 def test_claims(spark):
     full = {"scenario_label": "base", "horizon_year": "2030", "base_value": "1", "driver_assumptions": "x"}
-    rows = [("a", 1, "institutional", "projection", full, "p. 3"), ("a", 2, "institutional", "projection", {**full, "scenario_label": " "}, "p. 3"), ("a", 3, "institutional", "theorem", {}, "p. 1"), ("a", 4, "hybrid", "theorem", None, "p. 1"), ("a", 5, None, "theorem", {}, "p. 1"), ("a", 6, None, "nothing", {}, None)]
-    df = spark.createDataFrame(rows, "cite_key string, claim_no int, domain string, type string, fields map<string,string>, locator string")
-    assert {(r["claim_no"], r["rule"]) for r in review.claim_violations(df).collect()} == {(2, "missing scenario_label"), (3, "type not allowed in domain"), (6, "missing locator")}
+    good = ("p. 3", "high")
+    rows = [
+        (1, "institutional", "projection", full, good), (2, "institutional", "projection", {k: v for k, v in full.items() if k != "scenario_label"}, good), (3, "institutional", "theorem", {}, good), (4, "hybrid", "theorem", None, good), (5, None, "theorem", {}, good),
+        (6, None, "nothing", {}, None), (7, "academic", "connection", {}, good), (8, "academic", "connection", {"linked_paper_status": "in-corpus"}, good), (9, "sell_side", "supply-chain-fact", {"attestation_source": "x", "verifiability": "rumour"}, ("", "sure")), (10, "unheard of", "methodology", {}, good), (11, "sell_side", "empirical", {}, good),
+    ]
+    df = spark.createDataFrame([("a", *r) for r in rows], "cite_key string, claim_no int, domain string, type string, fields map<string,string>, anchor struct<locator string, confidence string>")
+    assert {(r["claim_no"], r["rule"]) for r in review.claim_violations(df).collect()} == {
+        (2, "missing scenario_label"), (3, "type not allowed in domain"), (6, "invalid type"), (6, "missing source_anchor"), (7, "missing linked_paper_status"),
+        (9, "missing locator"), (9, "invalid confidence"), (9, "invalid verifiability"), (11, "type not allowed in domain"),
+    }
     s = spark.createDataFrame([(2, 0, False), (0, 1, False), (0, 0, False), (3, 2, True)], "a int, b int, c boolean").select(review.claim_status(F.col("a"), F.col("b"), F.col("c"))).collect()
     assert [x[0] for x in s] == ["Supported", "Partially supported", "Uncertain", "Unsupported"]
     f = spark.createDataFrame([(10, 0, 1), (10, 3, 5), (10, 4, 0), (0, 0, 0)], "a int, b int, c int").select(review.faithfulness(F.col("a"), F.col("b"), F.col("c"))).collect()
-    assert [x[0] for x in f] == ["high", "medium", "low", "high"]
+    assert [x[0] for x in f] == ["high", "medium", "low", "low"]
 
 
 @settings(max_examples=60, deadline=None)

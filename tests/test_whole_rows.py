@@ -38,5 +38,15 @@ def test_bibtex_entries_gives_every_record(spark, tmp_path):
 def test_html_content_is_the_cleaned_text(spark, tmp_path):
     texts = {1: "<body><nav>menu</nav><ARTICLE class='a'>One <b>two</b>\n three</ARTICLE>rest</body>", 2: "<html><header>h</header><main>Main\n<style>x{}</style> text</main><footer>f</footer></html>", 3: "no markup at  all", 4: "<body>only <aside>ads</aside>body</body>", 5: None}
     spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: (r["content"], r["removed"]) for r in relational.QUERIES["html_content"](spark, str(tmp_path)).collect()}
-    assert got == {1: ("One two three", 1), 2: ("Main text", 3), 3: ("no markup at all", 0), 4: ("only body", 1)}
+    got = {r["doc_id"]: (r["content"], r["removed"], r["root"]) for r in relational.QUERIES["html_content"](spark, str(tmp_path)).collect()}
+    assert got == {1: ("One two three", 1, "article"), 2: ("Main text", 2, "main"), 3: ("no markup at all", 0, "body"), 4: ("only ads body", 0, "body")}
+
+
+def test_long_formulas_are_notation(spark):
+    from pyspark.sql import functions as F
+
+    from quillspark.operators import review
+
+    long = "x_{" + "1" * 90 + "}"
+    df = spark.createDataFrame([(1, f"Let ${long}$ be $y$ and $y$; $$z$$ stays."), (2, None), (3, "")], "d int, t string")
+    assert {(r["d"], r["symbol"], r["uses"]) for r in review.notation(df, "d", F.col("t")).collect()} == {(1, long, 1), (1, "y", 2)}
