@@ -81,6 +81,37 @@ def global_rank(rows: DataFrame, order: list[Column]) -> DataFrame:
     return numbered.join(F.broadcast(before), "_part").withColumn("rank", F.col("_row") + F.col("_before")).drop("_part", "_row", "_before")
 
 
+def rank_in_group(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """rows with `rank`, from 1 within each group, for a total order. A group of any size is spread over range
+    partitions; its first place in the order of all rows gives the offset."""
+    ranked = cut(global_rank(rows, [F.asc(group), *order]).drop("total"))
+    first = ranked.groupBy(group).agg(F.min("rank").alias("_first"))
+    return ranked.join(first, group).withColumn("rank", F.col("rank") - F.col("_first") + 1).drop("_first")
+
+
+def neighbours(rows: DataFrame, group: str, order: str, wanted: dict[str, tuple[str, int]]) -> DataFrame:
+    """rows with a column for each of `wanted` (new name: column, +1 for the next row of the group or -1 for the one
+    before), null at the group's ends. order is unique in a group.
+
+    Rows are range-partitioned by group and order, so a group that holds most rows is spread over partitions; the
+    first and last row of each partition, a few rows, close the seams.
+    """
+    from pyspark.sql import Window
+
+    cols = sorted({c for c, _ in wanted.values()})
+    placed = cut(rows.repartitionByRange(F.asc(group), F.asc(order)).withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part").orderBy(group, order)
+    edge = F.struct(F.struct(F.col(group).alias("g"), F.col(order).alias("o")).alias("at"), *(F.col(c).alias(f"v_{c}") for c in cols))
+    parts = Window.orderBy("_part")
+    # as many rows as partitions
+    ends = placed.groupBy("_part").agg(F.min_by(edge, edge["at"]).alias("_head"), F.max_by(edge, edge["at"]).alias("_tail"))
+    seams = ends.select("_part", F.lead("_head").over(parts).alias("_after"), F.lag("_tail").over(parts).alias("_before"))
+    out = placed.withColumn("_n", F.coalesce(F.lead(edge).over(inside), F.lit(None))).withColumn("_p", F.lag(edge).over(inside)).join(F.broadcast(seams), "_part")
+    beside = {1: F.coalesce("_n", "_after"), -1: F.coalesce("_p", "_before")}
+    news = [F.when(beside[d]["at"]["g"].eqNullSafe(F.col(group)), beside[d][f"v_{c}"]).alias(new) for new, (c, d) in wanted.items()]
+    return out.select(*rows.columns, *news)
+
+
 def percentile_bucket(rank: Column, total: Column) -> Column:
     share = rank / total
     return F.when(share <= 0.30, "high").when(share <= 0.70, "medium").otherwise("low")

@@ -271,9 +271,8 @@ def adjacent_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT seg_uid, coalesce(lead(id) OVER (PARTITION BY cite_key ORDER BY seg_uid), '') AS next_id FROM segment_entries")
 def next_segment(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    return table(spark, folder, "segment_entries").select("seg_uid", F.coalesce(F.lead("id").over(Window.partitionBy("cite_key").orderBy("seg_uid")), F.lit("")).alias("next_id"))
+    rows = tab.neighbours(table(spark, folder, "segment_entries").select("cite_key", "seg_uid", "id"), "cite_key", "seg_uid", {"next_id": ("id", 1)})
+    return rows.select("seg_uid", F.coalesce("next_id", F.lit("")).alias("next_id"))
 
 
 @query("SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) t WHERE rn = 1")
@@ -317,10 +316,8 @@ def uniqueness_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT seg_uid FROM (SELECT seg_uid, updated_at, lag(updated_at) OVER (PARTITION BY cite_key ORDER BY seg_uid) AS before FROM segment_entries) t WHERE before > updated_at")
 def sort_check(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    before = F.lag("updated_at").over(Window.partitionBy("cite_key").orderBy("seg_uid"))
-    return table(spark, folder, "segment_entries").select("seg_uid", "updated_at", before.alias("before")).where("before > updated_at").select("seg_uid")
+    rows = tab.neighbours(table(spark, folder, "segment_entries").select("cite_key", "seg_uid", "updated_at"), "cite_key", "seg_uid", {"before": ("updated_at", -1)})
+    return rows.where("before > updated_at").select("seg_uid")
 
 
 @query(
