@@ -18,29 +18,73 @@ from quillspark.session import cut
 RANKS = 1 << 44
 
 
-def _exact(gap: int, have: np.ndarray) -> list[int] | None:
-    """Sizes of one, two or three items that add up to gap, the fewest and then the largest first; have[s]
-    tells how many items of size s are left."""
-    if have[gap]:
-        return [gap]
-    sizes = np.flatnonzero(have[:gap])
-    if not len(sizes):
+class SumIndex:
+    """Which gaps one, two or three of the sizes left fill exactly.
+
+    Counts stand by size. The pair sums are counted by sum and kept up to date: a size that comes or goes changes
+    one entry for each other size. The sizes left are also the bits of a number, in rising and in falling order, so
+    the pairs of a sum come from one shift and one conjunction; a triple takes one lookup of a pair sum for each
+    first size. Nothing is scanned anew for a gap.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int) -> None:
+        self.capacity = capacity
+        self.have = [0] * (capacity + 1)
+        self.pairs = np.zeros(2 * capacity + 1, np.int32)
+        self.left = np.zeros(capacity + 1, np.int32)
+        self.rising = self.falling = 0
+        for size, n in counts.items():
+            self.add(size, n)
+
+    def add(self, size: int, n: int) -> None:
+        """n more of a size, or fewer."""
+        before, now = self.have[size], self.have[size] + n
+        self.have[size] = now
+        if (before > 0) != (now > 0):
+            step = 1 if now > 0 else -1
+            self.left[size] = 0
+            self.pairs[size : size + self.capacity + 1] += step * self.left
+            self.left[size] = now > 0
+            self.rising ^= 1 << size
+            self.falling ^= 1 << (self.capacity - size)
+        if (before > 1) != (now > 1):
+            self.pairs[2 * size] += 1 if now > 1 else -1
+
+    def largest(self, most: int) -> int:
+        """The largest size left that isn't over `most`; 0 if there is none."""
+        fitting = self.rising & ((1 << (most + 1)) - 1)
+        return fitting.bit_length() - 1 if fitting else 0
+
+    def pair(self, total: int, most: int) -> tuple[int, int] | None:
+        """Two items of that sum, neither over `most`, the larger one as large as may be."""
+        if total < 2 or not self.pairs[total]:
+            return None
+        sizes = self.rising & (self.falling >> (self.capacity - total)) & ((1 << (min(most, total - 1) + 1)) - 1)
+        while sizes:
+            a = sizes.bit_length() - 1
+            if 2 * a < total:
+                return None
+            if 2 * a > total or self.have[a] > 1:
+                return a, total - a
+            sizes ^= 1 << a
+        return None
+
+    def fill(self, gap: int) -> list[int] | None:
+        """One, two or three items that sum to gap, the fewest and then the largest first."""
+        if self.have[gap]:
+            return [gap]
+        if two := self.pair(gap, gap):
+            return list(two)
+        a = self.largest(gap - 2)
+        while a and 3 * a >= gap:
+            if self.pairs[gap - a]:
+                self.add(a, -1)
+                two = self.pair(gap - a, a)
+                self.add(a, 1)
+                if two:
+                    return [a, *two]
+            a = self.largest(a - 1)
         return None
-    rest = gap - sizes
-    two = sizes[(have[rest] > 0) & ((sizes != rest) | (have[sizes] > 1))]
-    if len(two):
-        return [int(two[-1]), gap - int(two[-1])]
-    for a in sizes[::-1]:
-        left = have.copy()
-        left[a] -= 1
-        want = gap - int(a)
-        more = np.flatnonzero(left[:want])
-        more = more[more <= a]
-        other = want - more
-        fit = more[(left[other] > 0) & ((more != other) | (left[more] > 1))]
-        if len(fit):
-            return [int(a), int(fit[-1]), want - int(fit[-1])]
-    return None
 
 
 def plan_containers(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
@@ -51,32 +95,30 @@ def plan_containers(counts: dict[int, int], capacity: int) -> list[tuple[int, di
     tried. Each pattern is repeated as often as its sizes last, so it uses one of them up: there are at most
     `capacity` patterns, and the time doesn't depend on the number of items.
     """
-    have = np.zeros(capacity + 1, np.int64)
-    for size, n in counts.items():
+    for size in counts:
         if not 0 < size <= capacity:
             raise ValueError(f"size {size} is outside 1..{capacity}")
-        have[size] += n
+    index = SumIndex(counts, capacity)
     patterns = []
-    while have.any():
-        first = int(np.flatnonzero(have)[-1])
+    while first := index.largest(capacity):
         used = {first: 1}
-        have[first] -= 1
+        index.add(first, -1)
         gap = capacity - first
         while gap:
-            if fill := _exact(gap, have):
+            if fill := index.fill(gap):
                 gap = 0
+            elif fits := index.largest(gap):
+                fill = [fits]
+                gap -= fits
             else:
-                fitting = np.flatnonzero(have[: gap + 1])
-                if not len(fitting):
-                    break
-                fill = [int(fitting[-1])]
-                gap -= fill[0]
+                break
             for size in fill:
                 used[size] = used.get(size, 0) + 1
-                have[size] -= 1
-        more = min(int(have[s]) // k for s, k in used.items())
-        for size, k in used.items():
-            have[size] -= more * k
+                index.add(size, -1)
+        more = min(index.have[s] // k for s, k in used.items())
+        if more:
+            for size, k in used.items():
+                index.add(size, -more * k)
         patterns.append((1 + more, used))
     return patterns
 

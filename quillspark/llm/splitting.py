@@ -37,10 +37,14 @@ def cut_pattern(limit: int, share: float = 0.5) -> str:
     return rf"{whole}|{ends}|(?s:.{{1,{limit}}})"
 
 
+#: The most characters that a boundary takes: two line ends of two characters with two blanks between, and four
+#: blanks after them.
+ROOM = 10
+
+
 def _ended(boundary: str, least: int, limit: int) -> str:
-    """The longest run that a boundary follows, boundary included: a boundary is a few characters, for which
-    the run leaves room."""
-    room = 8
+    """The longest run that a boundary follows, boundary included, for which the run leaves ROOM."""
+    room = ROOM
     return rf"(?s:.{{{max(1, least - room)},{limit - room}}})(?:{boundary.replace(r'\s*', r'\s{0,4}').replace(r'\s+', r'\s{1,4}').replace('[ \\t]*', '[ \\t]{0,2}').replace(']*', ']{0,2}')})"
 
 

@@ -6,6 +6,7 @@ the weights of the values that have it; the value closest to the consensus is th
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 
@@ -14,11 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import clean_text
+from quillspark.operators.tabular import rank_in_group
 from quillspark.session import cut
 
-#: Values of one group that a task aligns; larger groups are aligned in buckets of this size, whose consensus
-#: values are aligned again.
-BUCKET = 32
+#: Values that a node of the guide tree joins; a leaf is a value, heaviest first.
+FAN = 32
+#: The vote of an address that doesn't have the form of the paper's own PDF, beside 1.
+OTHER_WEIGHT = 0.25
 #: A count with more binary digits (of its successor) is odd if at least this share of the works with a count of as
 #: many digits has it.
 SMALL_BITS, LEAST_SHARE = 16, 0.1
@@ -87,17 +90,18 @@ def align(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
     return pairs
 
 
-def consensus_tokens(values: Sequence[tuple[Sequence[str], float]]) -> list[str]:
+def consensus_tokens(values: Sequence[tuple[Sequence, float]], least_share: float = 0.0) -> list:
     """The tokens that the weighted columns of a progressive alignment vote for, heaviest values first.
 
     A value that ends early or begins late casts no vote beyond its ends: a cut text doesn't vote for being
-    cut. A column is kept if its tokens weigh at least as much as the gaps of the values that span it.
+    cut. A column is kept if its tokens weigh at least as much as the gaps of the values that span it, and more than
+    least_share of all values.
     """
     order = sorted((v for v in values if v[1] > 0 and v[0]), key=lambda v: (-v[1], -len(v[0]), list(v[0])))
     columns: list[dict[str, float]] = []
     before = 0.0
     for tokens, weight in order:
-        lead = [max((t for t in c if t), key=lambda t: (c[t], t)) for c in columns]
+        lead = [max((t for t in c if t != ""), key=lambda t: (c[t], t)) for c in columns]
         pairs = align(lead, tokens)
         spans = [k for k, (i, j) in enumerate(pairs) if i >= 0 and j >= 0]
         first, last = (spans[0], spans[-1]) if spans else (len(pairs), -1)
@@ -113,8 +117,8 @@ def consensus_tokens(values: Sequence[tuple[Sequence[str], float]]) -> list[str]
         before += weight
     out = []
     for c in columns:
-        token = max((t for t in c if t), key=lambda t: (c[t], t), default="")
-        if token and c[token] >= c.get("", 0.0):
+        token = max((t for t in c if t != ""), key=lambda t: (c[t], t), default="")
+        if token != "" and c[token] >= c.get("", 0.0) and c[token] > least_share * before:
             out.append(token)
     return out
 
@@ -126,31 +130,52 @@ def agreement(tokens: Sequence[str], consensus: Sequence[str]) -> float:
     return sum(i >= 0 and j >= 0 for i, j in align(list(tokens), list(consensus))) / len(tokens)
 
 
-def group_consensus(values: DataFrame, most_rounds: int = 20) -> DataFrame:
+def guide_tree(values: Sequence[tuple[Sequence[str], float]], fan: int | None = None) -> list[str]:
+    """The consensus of any number of values, by the tree that group_consensus climbs, in one process."""
+    level = sorted(((list(t), w) for t, w in values if w > 0 and t), key=lambda v: (-v[1], -len(v[0]), v[0]))
+    fan = fan or FAN
+    while len(level) > 1:
+        level = [(consensus_tokens(level[k : k + fan]), sum(w for _, w in level[k : k + fan])) for k in range(0, len(level), fan)]
+    return level[0][0] if level else []
+
+
+def group_consensus(values: DataFrame, fan: int | None = None) -> DataFrame:
     """group_key, consensus (array of tokens) of values: group_key, tokens, weight.
 
-    Equal values are one with their weights summed, before any shuffle of a group. A group with more than
-    BUCKET different values is aligned in buckets, and the buckets' results again, until one is left, so that
-    no task holds an unbounded group. Groups without a value of positive weight have no row.
+    Equal values are one with their weights summed, before any shuffle of a group. A group's values are the leaves
+    of a guide tree, ordered by weight, then length, then their tokens; a node is the consensus of FAN neighbours,
+    in this order, and of their weight. The tree and so the result depend on the values alone, not on partitions or
+    hashes, and no task holds an unbounded group: leaves are numbered by a range-partitioned rank. Groups without a
+    value of positive weight have no row.
     """
+    fan = fan or FAN
     level = values.where((F.col("weight") > 0) & (F.size("tokens") > 0)).groupBy("group_key", "tokens").agg(F.sum("weight").alias("weight"))
-    schema = "group_key string, tokens array<string>, weight double"
+    schema = "group_key string, node long, tokens array<string>, weight double"
 
     def vote(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = consensus_tokens([(list(t), w) for t, w in zip(rows["tokens"], rows["weight"])])
-        return pd.DataFrame({"group_key": [key[0]], "tokens": [found], "weight": [float(rows["weight"].sum())]})
+        leaves = [(list(t), w) for t, w in zip(rows["tokens"], rows["weight"])]
+        if len(leaves) > 1:
+            rows = rows.assign(_order=rows["rank"])
+            leaves = [(list(t), w) for t, w in zip(rows.sort_values("_order")["tokens"], rows.sort_values("_order")["weight"])]
+            found = consensus_tokens(leaves)
+        else:
+            found = leaves[0][0]
+        return pd.DataFrame({"group_key": [key[0]], "node": [key[1]], "tokens": [found], "weight": [float(rows["weight"].sum())]})
 
     level = cut(level)
-    for _ in range(most_rounds):
-        sizes = level.groupBy("group_key").agg(F.count(F.lit(1)).alias("_n"))
-        single = level.join(sizes.where("_n = 1").select("group_key"), "group_key", "left_semi")
-        rest = level.join(sizes.where("_n > 1"), "group_key")
-        bucket = F.pmod(F.xxhash64("tokens"), F.ceil(F.col("_n") / BUCKET).cast("long"))
-        voted = rest.withColumn("_bucket", bucket).groupBy("group_key", "_bucket").applyInPandas(vote, schema)
-        level = cut(single.unionByName(voted))
-        if not level.groupBy("group_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).count():
-            return level.select("group_key", F.col("tokens").alias("consensus"))
-    raise RuntimeError("groups did not come down to one value")
+    sizes = level.groupBy("group_key").agg(F.count(F.lit(1)).alias("_n"))
+    single = level.join(sizes.where("_n = 1").select("group_key"), "group_key", "left_semi")
+    out = [single.select("group_key", F.col("tokens").alias("consensus"))]
+    rest = level.join(sizes.where("_n > 1").select("group_key"), "group_key", "left_semi")
+    rest = rank_in_group(rest, "group_key", [F.desc("weight"), F.desc(F.size("tokens")), F.asc("tokens")])
+    while True:
+        node = F.floor((F.col("rank") - 1) / fan).cast("long").alias("node")
+        voted = cut(rest.select("group_key", node, "rank", "tokens", "weight").groupBy("group_key", "node").applyInPandas(vote, schema))
+        most = voted.agg(F.max("node")).first()[0]
+        if not most:  # a single node in every group, or no group
+            out.append(voted.select("group_key", F.col("tokens").alias("consensus")))
+            return functools.reduce(DataFrame.unionByName, out)
+        rest = voted.withColumn("rank", F.col("node") + 1)
 
 
 def with_agreement(values: DataFrame, consensus: DataFrame) -> DataFrame:
@@ -208,34 +233,22 @@ def best_abstracts(zotero: DataFrame) -> DataFrame:
     return best.select("group_key", (-F.col("_b.first")).alias("rec_id"), F.col("_b.value").alias("value"))
 
 
-def heaviest_rise(steps: Sequence[tuple[int, float]]) -> int:
-    """The last value of the heaviest subsequence of (value, weight) that never falls; of equals the greatest.
+def last_of_course(counts: Sequence[int]) -> int:
+    """The last count of the course that a work's counts took, in the order of retrieval; a course never falls.
 
-    It is the heaviest common subsequence of the steps and the steps in the order of value, found in
-    n log n with a tree of prefix maxima.
+    Two witnesses are aligned: the counts as they were retrieved, and the same counts as they would have been if
+    none were spoilt, in the order of size. Columns that both vote for are the consensus, and its last token is the
+    value nearest to the end that fits; the others are spoilt. Zeros beside other counts stand for lost ones.
     """
-    rank = {v: k for k, v in enumerate(sorted({v for v, _ in steps}), 1)}
-    tree = [0.0] * (len(rank) + 1)
-    best = (-1.0, 0)
-    for value, weight in steps:
-        k, before = rank[value], 0.0
-        while k:
-            before = max(before, tree[k])
-            k -= k & -k
-        total, k = before + weight, rank[value]
-        best = max(best, (total, value))
-        while k < len(tree):
-            tree[k] = max(tree[k], total)
-            k += k & -k
-    return best[1]
+    told = [c for c in counts if c] or list(counts)
+    return consensus_tokens([(told, 1.0), (sorted(told), 1.0)], 0.5)[-1]
 
 
 def best_counts(openalex: DataFrame) -> DataFrame:
     """group_key, rec_id, value: the count retrieved last that fits a count which never falls.
 
-    The counts of a work in the order of retrieval are aligned with themselves in the order of size: the
-    heaviest common subsequence is the longest course without a fall. A zero weighs next to nothing beside
-    other counts, as it also stands for a lost one. Negative counts weigh nothing; nor do large counts that
+    The counts of a work in the order of retrieval are aligned with themselves in the order of size, and the columns
+    that both vote for are the course of the real ones (last_of_course). Negative counts weigh nothing; nor do large counts that
     different works share, as large natural counts hardly do: at least LEAST_SHARE of the works with a count of
     that binary order of magnitude, and two at least. How often a count was retrieved doesn't matter for that.
     Equal counts of one work are one step however often they were retrieved.
@@ -254,7 +267,7 @@ def best_counts(openalex: DataFrame) -> DataFrame:
 
     @F.pandas_udf("long")
     def course(courses: pd.Series) -> pd.Series:
-        return pd.Series([heaviest_rise([(x["value"], (0.01 if x["value"] == 0 else 1.0) * x["n"]) for x in c]) for c in courses], dtype="int64")
+        return pd.Series([last_of_course([int(x["value"]) for x in c]) for c in courses], dtype="int64")
 
     # one short array for each work: its different counts in the order of their last retrieval
     ordered = steps.groupBy("group_key").agg(F.array_sort(F.collect_list(F.struct("last_at", "value", "n"))).alias("_steps"))
@@ -268,8 +281,10 @@ def best_counts(openalex: DataFrame) -> DataFrame:
 def best_addresses(arxiv: DataFrame) -> DataFrame:
     """group_key, rec_id, value: the usable address of the paper's own PDF, of the highest version of the id.
 
-    Addresses are tokens of scheme, host, path and number; the exact check asks for the group's own number at
-    the end of a PDF path. Ties go to the latest retrieval, then the least rec_id.
+    Addresses are tokens of scheme, host, path and number, without their version; a group's rows vote for each
+    column, an address of several rows with the weight of all of them, and the addresses that agree with the
+    consensus go on to the exact check, which asks for the group's own number at the end of a PDF path. Ties go to
+    the latest retrieval, then the least rec_id.
     """
     number = F.regexp_extract("id", r"([0-9]{4}\.[0-9]{4,5})", 1)
     version = F.regexp_extract("id", r"[0-9]{4}\.[0-9]{4,5}v([0-9]+)", 1)
@@ -277,8 +292,8 @@ def best_addresses(arxiv: DataFrame) -> DataFrame:
         in_groups(arxiv.select(F.when(number != "", number).alias("group_key"), "rec_id", "retrieved_at", F.trim("pdf_url").alias("value"), F.coalesce(F.try_to_number(F.when(version != "", version), F.lit("999999999")).cast("int"), F.lit(0)).alias("version")))
     )
     own = F.coalesce(F.col("value").rlike(r"^https?://[^/?#\s]+/pdf/") & (F.regexp_extract("value", r"/pdf/([0-9]{4}\.[0-9]{4,5})(?:v[0-9]+)?(?:\.pdf)?$", 1) == F.col("group_key")), F.lit(False))
-    weighed = rows.withColumn("weight", F.when(own, 1.0).otherwise(0.0)).withColumn("tokens", F.filter(F.split(F.regexp_replace("value", r"(?:v[0-9]+)?(?:\.pdf)?$", ""), r"[:/]+"), lambda t: t != ""))
-    agreed = with_agreement(weighed.where("weight > 0"), group_consensus(weighed))
+    weighed = rows.withColumn("own", own).withColumn("weight", F.when(F.col("own"), 1.0).when(F.col("value") != "", OTHER_WEIGHT).otherwise(0.0)).withColumn("tokens", F.filter(F.split(F.regexp_replace("value", r"(?:v[0-9]+)?(?:\.pdf)?$", ""), r"[:/]+"), lambda t: t != ""))
+    agreed = with_agreement(weighed.where("own"), group_consensus(weighed))
     pick = F.struct("version", "retrieved_at", (-F.col("rec_id")).alias("first"), "value")
     best = agreed.where("agreement >= 0.6").groupBy("group_key").agg(F.max(pick).alias("_b"))
     return best.select("group_key", (-F.col("_b.first")).alias("rec_id"), F.col("_b.value").alias("value"))
