@@ -18,32 +18,52 @@ from pyspark.sql import functions as F
 
 KINDS = ("placeholder", "filler", "error", "notice")
 
-NAME = r"[A-Za-z][\w.\- ]{0,40}"
-#: Placeholders by delimiter. A grammar names what stands between the delimiters, so set braces, wiki links,
-#: elements of HTML and operators are none of them.
-GRAMMARS = {
-    "mustache": rf"\{{\{{\{{?\s*[#^/&>!]?\s*{NAME}(?:\|[^{{}}\n]{{1,40}})?\s*\}}?\}}\}}",
-    "statement": r"\{%-?\s*(?:if|for|else|elif|endif|endfor|block|include|set|extends)\b[^%\n]{0,80}%\}",
-    "erb": r"<%[=\-]?\s*[\w.@\[\]'\"() ]{1,80}\s*-?%>",
-    "shell": r"(?<![\\$\w])\$\{[A-Za-z_][\w.]{1,40}\}(?!\$)",
-    "printf": r"%\([A-Za-z_]\w{0,40}\)[sdfr]",
-    "format": r"(?<![\\\w}\]_^$&={(])\{(?:[A-Za-z][A-Za-z_]{2,40}|\d{1,2})\}(?![\w{$^_])",
-    "dunder": r"(?<!\w)__[A-Z][A-Z0-9_]*[A-Z0-9]__(?!\w)",
-    "at": r"@@[A-Za-z]\w{1,40}@@",
-    "bracket": r"\[\[[A-Z][A-Z0-9_ ]{2,40}\]\]",
-    "angle": r"<(?!HTML|BODY|HEAD|TITLE>|DIV|SPAN|NOSCRIPT|SCRIPT|TABLE|STYLE|IMG|CODE|PRE|SUB|SUP|BR)[A-Z][A-Z_]{2,40}>|<TITLE>(?!.*</TITLE>)|<(?:insert|your|enter) [a-z _]{2,40}>",
-    "entity": r"&lt;[a-z][a-z_ ]{2,40}&gt;",
-    "guillemet": r"«[a-z]{3,20}(?:[ _][a-z]{2,20}){0,2}»",
-    "dollar": r"\$\$[A-Z][A-Z_]{2,40}\$\$",
-    "percent": r"(?<![\w%])%[A-Z][A-Z_]{2,40}%(?![\w%])|(?<![\w#])##?[A-Z][A-Z_]{2,40}##?(?![\w#])",
-    "instruction": r"\[(?:INSERT|ENTER|ADD|TYPE|FILL IN|Insert|Enter|Add|Fill in) [\w ,'\-]{2,60}\]|\[[Yy]our [\w \-]{2,40}\]|\[[\w \-]{2,40} goes here\]|\((?:add|insert|fill in) [\w \-]{2,40}\)",
-    "todo": r"\b(?:TODO|FIXME)\s*:\s*(?:fill|add|insert|write|complete)[^\n.;]{0,60}|\bTBD\b(?:\s*[-–:]\s*[\w ]{2,40})?|\b(?:XXXX+)\s*\([\w ]{2,40}\)",
-    "comment": r"<!--\s*[\w ]{2,40}\bplaceholder\s*-->|<!--\s*(?:insert|todo|add)\b[^>\n]{0,60}-->",
-    "object": r"\[object Object\]",
+#: A template's name for a field; it ends where the closing delimiter must stand, so it is never taken back.
+NAME = r"[A-Za-z][\w.\- ]*+"
+#: Placeholders by delimiter: what must not stand before, the opening delimiters (each a literal, upper case where it
+#: must be), and the rest. A grammar names what stands between the delimiters, so set braces, wiki links, elements of
+#: HTML and operators are none of them. Names may have any length.
+GRAMMARS: dict[str, list[tuple[str, list[str], str]]] = {
+    "mustache": [("", ["{{"], rf"\{{?\s*[#^/&>!]?\s*{NAME}(?:\|[^{{}}\n]++)?\s*\}}?\}}\}}")],
+    "statement": [("", ["{%"], r"-?\s*(?:if|for|else|elif|endif|endfor|block|include|set|extends)\b[^%\n]*+%\}")],
+    "erb": [("", ["<%"], r"[=\-]?\s*[\w.@\[\]'\"() ]++-?%>")],
+    "shell": [(r"(?<![\\$\w])", ["${"], r"[A-Za-z_][\w.]++\}(?!\$)")],
+    "printf": [("", ["%("], r"[A-Za-z_]\w*+\)[sdfr]")],
+    "format": [(r"(?<![\\\w}\]_^$&={(])", ["{"], r"(?:[A-Za-z][A-Za-z_]{2,}+|\d{1,2})\}(?![\w{$^_])")],
+    "dunder": [(r"(?<!\w)", ["__"], r"[A-Z][A-Z0-9_]*[A-Z0-9]__(?!\w)")],
+    "at": [("", ["@@"], r"[A-Za-z]\w++@@")],
+    "bracket": [("", ["[["], r"[A-Z][A-Z0-9_ ]{2,}+\]\]")],
+    "angle": [("", ["<"], r"(?!HTML|BODY|HEAD|TITLE>|DIV|SPAN|NOSCRIPT|SCRIPT|TABLE|STYLE|IMG|CODE|PRE|SUB|SUP|BR)[A-Z][A-Z_]{2,}+>|<TITLE>(?!.*</TITLE>)|<(?:insert|your|enter|INSERT|YOUR|ENTER)[ _][A-Za-z _]{2,}+>")],
+    "entity": [("", ["&lt;"], r"[a-z][a-z_ ]{2,}+&gt;")],
+    "guillemet": [("", ["«"], r"[a-z]{3,}+(?:[ _][a-z]{2,}+){0,2}»")],
+    "dollar": [("", ["$$"], r"[A-Z][A-Z_]{2,}+\$\$")],
+    "percent": [(r"(?<![\w%])", ["%"], r"[A-Z][A-Z_]{2,}+%(?![\w%])"), (r"(?<![\w#])", ["#"], r"#?[A-Z][A-Z_]{2,}+##?(?![\w#])")],
+    "instruction": [
+        ("", ["[INSERT ", "[ENTER ", "[ADD ", "[TYPE ", "[FILL IN ", "[Insert ", "[Enter ", "[Add ", "[Fill in "], r"[\w ,'\-]{2,}+\]"), ("", ["[Your ", "[your "], r"[\w \-]{2,}+\]"),
+        ("", ["["], r"[\w \-]{2,} goes here\]"), ("", ["(add ", "(insert ", "(fill in "], r"[\w \-]{2,}+\)"),
+    ],
+    "todo": [(r"\b", ["TODO", "FIXME"], r"\s*:\s*(?:fill|add|insert|write|complete)[^\n.;]*+"), (r"\b", ["TBD"], r"\b(?:\s*[-–:]\s*[\w ]{2,}+)?"), (r"\b", ["XXXX"], r"X*\s*\([\w ]{2,}+\)")],
+    "comment": [("", ["<!--"], r"\s*[\w ]{2,}\bplaceholder\s*-->|<!--\s*(?:insert|todo|add)\b[^>\n]*?-->")],
+    "object": [("", ["[object"], r" Object\]")],
 }
-PLACEHOLDER = regex.compile("|".join(f"(?P<{k}>{v})" for k, v in GRAMMARS.items()))
+
+
+def _rules() -> Iterator[tuple[str, str, str]]:
+    """(kind, opening delimiter, pattern) of every rule; a rest that names the delimiter again is an alternative."""
+    for kind, rules in GRAMMARS.items():
+        for before, opens, rest in rules:
+            for o in opens:
+                first, *others = rest.split(f"|{o}")
+                yield kind, o, f"{before}{regex.escape(o)}(?:{first})"
+                yield from ((kind, o, f"{before}{regex.escape(o)}(?:{x})") for x in others)
+
+
+PLACEHOLDER = regex.compile("|".join(p for _, _, p in _rules()))
+BY_OPENER: dict[str, list[tuple[str, regex.Pattern]]] = {}
+for _kind, _open, _pattern in _rules():
+    BY_OPENER.setdefault(_open.lower(), []).append((_kind, regex.compile(_pattern)))
 #: A value that a program left out, where a field should be.
-MISSING = regex.compile(r"^\W*(?:[\w ]{2,24}:\s*)?(?:undefined|NaN)\W*$|\b(?:by|on|of|reports?|extends?|studies|chapter,|keywords:|title:|authors?:)\s+(?:undefined|NaN)\b(?!\s+(?:if|when|unless|for|at|outside|behaviou?r))", regex.I)
+MISSING = regex.compile(r"^\W*(?:[\w ]+:\s*)?(?:undefined|NaN)\W*$|(?:^\W*|[.!?]\s+)(?:as|see|cf\.?|by|in|from|following)\s+(?:undefined|NaN)\b|\b(?:by|on|of|reports?|extends?|studies|chapter,|keywords:|title:|authors?:)\s+(?:undefined|NaN)\b(?!\s+(?:if|when|unless|for|at|outside|behaviou?r))", regex.I)
 #: A sentence with one of these speaks about templates, unless the placeholder is all there is.
 SPEAKS = regex.compile(
     r"\b(?:macros?|variables?|placeholders?|templates?|render(?:s|ed|ing)?|listings?|expand(?:s|ed)?|replac(?:e[sd]?|ing)|substitut\w+|syntax|escap(?:e[sd]?|ing)|literal(?:ly)?|regular expressions?|singleton|python|jinja|mustache|handlebars|"
@@ -51,7 +71,7 @@ SPEAKS = regex.compile(
     regex.I,
 )
 CODE = regex.compile(r"(?ms)^[ \t]*(```|~~~).*?(?:^[ \t]*\1[ \t]*$|\Z)|^(?: {4}|\t)\S.*$|\\begin\{(verbatim|lstlisting|minted)\}.*?\\end\{\2\}")
-SPANS = regex.compile(r"`[^`\n]+`|(?<!\$)\$(?!\$)(?!\{)[^$\n]+\$(?!\$)|\\[(\[].*?\\[)\]]|[\"“„][^\"”“\n]{1,200}[\"”]|(?<!\w)'[^'\n]{2,80}'(?!\w)")
+SPANS = regex.compile(r"`[^`\n]+`|(?<!\$)\$(?!\$)(?!\{)[^$\n]+\$(?!\$)|\\[(\[].*?\\[)\]]|[\"“„][^\"”“\n]++[\"”]|(?<!\w)'[^'\n]{2,80}'(?!\w)")
 
 LOREM = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in "
@@ -63,8 +83,8 @@ STATUS = r"(?:not found|bad request|forbidden|gone|unauthori[sz]ed|(?:bad )?gate
 SENTENCE = regex.compile(r"[.!?…:]\s+|[。！？]|\s{3,}")
 
 FILLER = regex.compile(
-    r"(?:sample text[.!]|(?:body )?copy to follow|content (?:is )?coming soon|(?:this is )?(?:a )?(?:placeholder|dummy|filler) (?:paragraph|text)[.!]|(?:double-)?click (?:here )?to (?:edit|add|change) (?:this )?(?:text|title|content)|(?:your|insert|enter|add|type) (?:your )?text (?:goes )?here|replace this (?:text|paragraph) with|"
-    r"text to be (?:supplied|added|provided)|to be (?:written|completed)[.!]?\W*$|hier steht (?:ihr|der) text|blindtext|texte? (?:de remplissage|à venir)|texto de (?:relleno|ejemplo)|contenido próximamente|contenu à venir|inhalt folgt|内容即将|此处(?:填写|输入)|示例文本)",
+    r"(?:sample text[.!]|lorem ipsum\W*$|(?:body )?copy to follow|content (?:is )?coming soon|(?:this is )?(?:a )?(?:placeholder|dummy|filler) (?:paragraph|text)[.!]|(?:double-)?click (?:here )?to (?:edit|add|change) (?:this )?(?:text|title|content)|(?:your|insert|enter|add|type) (?:your )?text (?:goes )?here|replace this (?:text|paragraph) with|"
+    r"text to be (?:supplied|added|provided)|to be (?:written|completed)[.!]?\W*$|hier steht (?:(?:ihr|der|ein|dieser) )?(?:\w*text)\b|(?:dies ist (?:ein )?)?(?:blind|füll|platzhalter|beispiel)text\b|(?:ceci est )?(?:un |du )?(?:faux )?texte? (?:de remplissage|à venir|d['’]exemple|provisoire|factice)|(?:(?:este|esto) es )?(?:un )?texto de (?:relleno|ejemplo|prueba|muestra)|contenido próximamente|contenu à venir|inhalt folgt|内容即将|此处(?:填写|输入)|示例文本)",
     regex.I,
 )
 #: One word, and one sentence, over and over.
@@ -79,7 +99,7 @@ NOTICE = regex.compile(
     rf"(?:this |the )[\w ]{{2,40}}(?:requires?|needs?) [^.\n]{{0,40}}(?:java ?script|script(?:s|ing)?|a (?:modern|newer|recent) browser|cookies)\b|"
     r"java ?script (?:is|must be|has to be|seems to be|appears to be) (?:not available|not enabled|unavailable|disabled|required|turned off|switched off|off|enabled|needed|on)|"
     r"interactive [\w ]{2,30}: no preview|loading (?:the )?\w*\s?(?:…|\.\.\.)|"
-    r"cookies (?:must|have to|need to|are required|should) |your browser (?:is out ?of ?date|is outdated|is (?:not|no longer) supported|does ?n[o']t support|cannot|can't|must|has (?:java ?script|cookies))|"
+    r"(?:les |las |die |the )?cookies (?:must|have to|need to|are required|should|doivent|deben|müssen|sont (?:nécessaires|requis)|son necesarias|sind erforderlich)\b|your browser (?:is out ?of ?date|is outdated|is (?:not|no longer) supported|does ?n[o']t support|cannot|can't|must|has (?:java ?script|cookies))|"
     r"it (?:looks as if|looks like|seems|appears)[^.\n]{0,12} (?:an?|your) [^.\n]{0,30}blocker|(?:please )?(?:disable|turn off|pause) your (?:ad|script)|"
     r"checking (?:your|if the|the) (?:browser|connection|site connection)|one moment(?:, please)?,? (?:while )?we(?: are|'re)? (?:verify|check)\w*|(?:please )?(?:confirm|verify|prove) (?:that )?you are (?:not a robot|(?:a )?human)|"
     r"bitte (?:aktivieren|erlauben|schalten) sie\b|(?:veuillez )?(?:activer|activez|autorisez) (?:le |les )?(?:java ?script|scripts|cookies)|(?:por favor,? )?(?:active|habilite|permita) (?:el |las |los )?(?:java ?script|scripts|cookies)|"
@@ -103,13 +123,25 @@ ERROR = regex.compile(
     r"服务器(?:繁忙|错误|无响应)|服务(?:暂时)?不可用|(?:页面|系统)?(?:出错了|发生错误)|(?:暂时)?无法(?:打开|显示|加载|访问))",
     regex.I,
 )
-FAULT = regex.compile(r"(?s)<fault>.{0,200}</fault>|<Error>\s*<Code>.{0,200}</Error>")
+FAULT = regex.compile(r"(?is)<fault>(?:(?!</fault>).)*+</fault>|<error>\s*<code>(?:(?!</error>).)*+</error>")
+#: A record of a failed request in place of a text.
+LOGGED = regex.compile(r"(?:status|code|error)\s*=\s*\"?[1-9]\d\d\b\"?[,;\s]+\w+\s*=", regex.I)
+#: What the makers of pages and forms ask of a reader: an order at the start of a sentence whose object is a part of
+#: the page, the browser or the form.
+ORDER = regex.compile(
+    r"(?:please |now |then |or |and |first,? |kindly )*(?:(?:enable|activate|allow|reload|refresh|return to|go back to|go to|retry|contact|click(?: on)?|press|tap(?: on)?|upgrade|insert|type|paste|drag|fill in|close|log ?in to|sign ?in to)\b[^.!?\n]{0,80}?\b"
+    r"(?:previous page|home ?page|this page|the page|browsers?|java ?scripts?|cookies|website|this site|window|this tab|button|this box|the box|text box|this field|the field below|this form|viewer|settings|your (?:session|connection|network|administrator|provider|account|text|words|content|title|name)|site (?:owner|administrator)|help ?desk)\b|"
+    r"(?:wait|try again|come back|check back)\b[^.!?\n]{0,30}?\b(?:reload|refresh|later|seconds?|minutes?|soon)\b(?! (?:of|for|in|than)\b)|too many requests (?:from|by)\b|replace this\b[^.!?\n]{0,40}\b(?:text|words|paragraph|sentence|content)\b)",
+    regex.I,
+)
+#: Words that fill a place; a short sentence of which one makes up a large part says nothing.
+EMPTY_WORDS = frozenset("text here words word content note heading paragraph sentence title texte texto".split())
 #: A line with one of these reports on messages; it isn't one.
 REPORTS = regex.compile(r"\b(?:we (?:therefore|removed|call|kept|followed|dropped)|were (?:retried|dropped|coded|removed)|answered with|modelled|the log line|crawler|of the sample|in the margin|is treated as|participants|coders)\b", regex.I)
 TAGS = regex.compile(r"</?[a-zA-Z][a-zA-Z0-9]*(?:\s[^<>\n]*)?/?>")
-#: Lines without any of these, and without what BRACE finds, have no unfilled field: each alternative of PLACEHOLDER
-#: and MISSING holds one.
-TRIGGERS = "{{ {% <% ${ %( @@ [[ __ « &lt; $$ <! <title> [object undefined nan [insert [your [enter [add [fill [type (add (insert (fill todo fixme tbd xxxx".split() + ["goes here]"]
+#: Lines without any of these have no unfilled field: every alternative of PLACEHOLDER begins with an opening delimiter
+#: of its grammar, every one of MISSING holds one of the two words.
+TRIGGERS = [*BY_OPENER, "undefined", "nan"]
 
 
 @functools.lru_cache(maxsize=1)
@@ -118,14 +150,11 @@ def _automaton():
 
     found = ahocorasick.Automaton()
     for word in TRIGGERS:
-        found.add_word(word, True)
+        found.add_word(word, word)
     found.make_automaton()
     return found
 
 
-BRACE = regex.compile(rf"{GRAMMARS['format']}|{GRAMMARS['angle']}|{GRAMMARS['percent']}")
-
-
 def _masked(text: str) -> str:
     """Code blocks blanked out, so that offsets and line ends stay."""
     return CODE.sub(lambda m: regex.sub(r"[^\n]", " ", m[0]), text) if ("```" in text or "~~~" in text or "\n    " in text or "\n\t" in text or "\\begin{" in text) else text
@@ -137,18 +166,32 @@ def _sentence(line: str, a: int, b: int) -> str:
     return line[start : min(ends) + 1 if ends else len(line)]
 
 
-def _field(line: str) -> str | None:
-    """What unfilled field a line has, if any."""
+def _fields(text: str, hits: list[tuple[int, str]]) -> list[tuple[str, int, int]]:
+    """kind, start, end of the placeholders of a text, from the left, none within another; rules are tried only where
+    their opening delimiters are."""
+    found, end = [], 0
+    for at, word in hits:
+        if at < end:
+            continue
+        for kind, pattern in BY_OPENER.get(word, ()):
+            if m := pattern.match(text, at):
+                found.append((kind, at, m.end()))
+                end = m.end()
+                break
+    return found
+
+
+def _field(line: str, fields: list[tuple[str, int, int]], missing: bool) -> str | None:
+    """What unfilled field a line has, if any, of the fields found in it."""
     hidden = None
-    for m in PLACEHOLDER.finditer(line):
-        kind = m.lastgroup
-        alone = not regex.sub(r"^\W*(?:[\w ]{2,24}:)?|[\W_]", "", line[: m.start()] + line[m.end() :])
+    for kind, a, b in fields:
+        alone = not regex.sub(r"^\W*(?:[\w ]+:)?|[\W_]", "", line[:a] + line[b:])
         if not alone:
             if hidden is None:
                 hidden = [s.span() for s in SPANS.finditer(line)]
-            if any(a <= m.start() and m.end() <= b and (a, b) != m.span() for a, b in hidden):
+            if any(x <= a and b <= y and (x, y) != (a, b) for x, y in hidden):
                 continue
-            rest = PLACEHOLDER.sub(" ", _sentence(line, *m.span()))
+            rest = PLACEHOLDER.sub(" ", _sentence(line, a, b))
             if SPEAKS.search(rest):
                 continue
             if kind == "format" and regex.search(r"[\\=<>^_]|[{}]", rest):
@@ -156,7 +199,7 @@ def _field(line: str) -> str | None:
         if kind == "guillemet" and not alone and regex.search(r"[«»]", rest) is None and regex.search(r"\b(?:le|la|les|des|une?|est|et|que|pour)\b", rest):
             continue
         return kind
-    m = MISSING.search(line)
+    m = MISSING.search(line) if missing else None
     if m and not any(a <= m.start() and m.end() <= b for a, b in (s.span() for s in SPANS.finditer(line))):
         return "missing"
     return None
@@ -173,6 +216,19 @@ def _lorem(line: str) -> bool:
     return any(known >= 5 and known >= 0.6 * len(words) for known in (sum(w in LOREM for w in words), sum(w in MASH for w in words)))
 
 
+def _hollow(line: str) -> bool:
+    """Whether a sentence of a line is mostly one empty word: three times at least, a quarter of its words."""
+    low = line.lower()
+    for word in EMPTY_WORDS:
+        if low.count(word) < 3:
+            continue
+        for sentence in regex.split(r"(?<=[.!?])\s+", low):
+            said = regex.findall(r"[^\W\d_]+", sentence)
+            if said.count(word) >= 3 and 4 * said.count(word) >= len(said):
+                return True
+    return False
+
+
 def _repeated(text: str) -> str | None:
     parts = text.split(". ")
     run = 1
@@ -190,12 +246,12 @@ def inspect(text: str | None) -> tuple[str, str] | None:
     lower = text.lower()
     if len(lower) != len(text):  # a few capitals have longer lower forms; offsets must hold
         lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    hits = [end for end, _ in _automaton().iter(lower)]
-    hits += [m.start() for m in BRACE.finditer(text)]
-    hits.sort()
     stutter = STUTTER.search(lower)
     repeated = _repeated(text)
     masked = _masked(text)
+    hits = sorted((end + 1 - len(word), word) for end, word in _automaton().iter(lower))
+    fields = _fields(masked, hits)
+    gaps = [at for at, word in hits if word in ("undefined", "nan")]
     if stutter and masked[stutter.start() : stutter.end()].strip():
         return "filler", stutter[0][:80]
     if repeated:
@@ -207,17 +263,21 @@ def inspect(text: str | None) -> tuple[str, str] | None:
         start, end = end + 1, end + 1 + len(line)
         if not line.strip():
             continue
-        if bisect.bisect_left(hits, start) < bisect.bisect_left(hits, end) and (field := _field(line)):
+        inside = [(k, a - start, b - start) for k, a, b in fields if start <= a and b <= end] if fields else []
+        missing = bisect.bisect_left(gaps, start) < bisect.bisect_left(gaps, end)
+        if (inside or missing) and (field := _field(line, inside, missing)):
             return "placeholder", f"{field}: {line.strip()[:80]}"
         plain = TAGS.sub(lambda m: " " * len(m[0]), line) if "<" in line else line
         if _lorem(plain):
             return "filler", plain.strip()[:80]
+        if _hollow(plain):
+            return "filler", plain.strip()[:80]
         for at in (0, *(m.end() for m in SENTENCE.finditer(plain))):
             while at < len(plain) and plain[at] not in "{<" and not plain[at].isalnum():
                 if plain[at] in "\"“”„`'":
                     at = len(plain)  # quoted: the sentence speaks of it
                 at += 1
-            for kind, pattern in (("filler", FILLER), ("notice", NOTICE), ("error", ERROR)):
+            for kind, pattern in (("filler", FILLER), ("notice", NOTICE), ("error", ERROR), ("error", LOGGED), ("notice", ORDER)):
                 if pattern.match(plain, at) and not REPORTS.search(_sentence(plain, at, at)):
                     return kind, plain[at : at + 80]
     return None
