@@ -2,8 +2,9 @@
 
 Every spelling is rewritten to canonical forms: nicknames become full names, titles and legal forms are
 normalised, the order of tokens is dropped, full names also give their abbreviations, and every token its
-forms with one letter left out. Spellings meet by equi-joins on the forms, and a form links only if it is rare
-enough to mean one name: an abbreviation that two people share links neither.
+forms with one letter left out. Spellings meet by equi-joins on the forms. A form's rarity scores the link: how few
+people would share it by chance, and for a form with a letter changed how much rarer one of the two words is than the
+other, since a slip is rare and a name is not. An abbreviation that two people share links neither.
 """
 
 from __future__ import annotations
@@ -42,6 +43,15 @@ FORMS = {
 BESIDE = {"study": "study", "stud": "study", "trial": "trial", "trials": "trial", "working": "working", "research": "research", "res": "research", "writing": "writing", "task": "task", "force": "force"}
 #: Before a name, or after it; capitals without a comma may be initials (DR, JR, MD) and stay.
 TITLES = regex.compile(r"^\s*(?:(?:Prof(?:essor)?|prof|Dr|dr|Doctor|Mrs?|Ms|Miss|Sir|Rev)\b\.?\s*)+|[,\s]+(?:Ph\.?\s?D|D\.?Phil)\b\.?|,\s*(?:M\.?D|M\.?Sc|B\.?Sc|Jr|Sr|Esq)\b\.?\s*$")
+#: Links by a form with a letter changed need this score.
+LEAST_SCORE = 0.5
+#: A word is taken for a slip of another while it is borne by no more than this share of the other's bearers, and one.
+SLIP_SHARE = 0.02
+#: Where only the end tells two words apart, as in Maria and Mario or Daniel and Daniela, the one word needs so many
+#: bearers, and the other no more than one, to be a slip.
+ESTABLISHED = 3
+#: Letters that words end with or not to make another name.
+ENDINGS = "aeiouy"
 STROKES = str.maketrans({**STROKED, **DOUBLED})
 
 
@@ -154,13 +164,16 @@ def one_edit(a: Column, b: Column) -> Column:
 
 
 def link_names(names: DataFrame) -> DataFrame:
-    """name, person (a class id) for every name of `names` (column name, distinct) that can be parsed.
+    """name, person (a class id), rule, score for every name of `names` (column name, distinct) that can be parsed.
 
     Full names are one person if their tokens are, in any order and by full given names, unless their middle
     initials differ; a full name without one joins them only if all with one agree. An abbreviation joins the
     one full name it can stand for; if there are several it stays alone, and if there is none it joins equal
     abbreviations. Names that differ by one letter in one token, or by two neighbours exchanged, are linked
-    if their middle initials agree. Names that can't be parsed have no row.
+    if their middle initials agree and edit_score is LEAST_SCORE at least. Names that can't be parsed have no row.
+    score is the rarity of the form that ties a spelling to its class, in 0..1: 1 / (1 + others), others being how many
+    further people are expected to have the form if words and initials were borne independently; for a spelling
+    tied by a changed letter the score of that change too; a spelling that stands alone by ambiguity has 1 / meanings.
     Everything is joined on forms; a common form is never expanded into pairs of spellings.
     """
     parsed = cut(parsed_names(names.select("name")))
@@ -178,18 +191,24 @@ def link_names(names: DataFrame) -> DataFrame:
     ordered = full.where("given IS NOT NULL").groupBy("key").agg(F.max("given").alias("known"))
     people = full.groupBy("person", "key", "middle").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("spellings")).join(ordered, "key", "left")
 
+    # how many people bear a word, and how many there are
+    borne = cut(people.select("key", F.explode(F.array_distinct("tokens")).alias("token")).distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+    everyone = people.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n"))
+
     # full names and groups one letter apart
     def close(df: DataFrame, same: str, least: int) -> DataFrame:
         at = df.select("person", "tokens", same, F.posexplode("tokens").alias("_i", "_t"))
         rest = _key(F.array_sort(F.transform(F.filter(F.col("tokens"), lambda t, k: k != F.col("_i")), lambda t: t)))
         keyed = at.where((F.length("_t") >= 2) & (F.length(rest) >= least)).withColumn("_d", F.explode(deletions(F.col("_t")))).select("person", F.col(same).alias("same"), "_t", F.concat_ws("|", rest, "_d").alias("form"))
         x, y = keyed.alias("x"), keyed.alias("y")
-        return x.join(y, (F.col("x.form") == F.col("y.form")) & (F.col("x.person") < F.col("y.person")) & one_edit(F.col("x._t"), F.col("y._t"))).select(F.col("x.person").alias("a"), F.col("y.person").alias("b"), F.col("x.same").alias("sa"), F.col("y.same").alias("sb")).distinct()
+        return x.join(y, (F.col("x.form") == F.col("y.form")) & (F.col("x.person") < F.col("y.person")) & one_edit(F.col("x._t"), F.col("y._t"))).select(F.col("x.person").alias("a"), F.col("y.person").alias("b"), F.col("x._t").alias("ta"), F.col("y._t").alias("tb"), F.col("x.same").alias("sa"), F.col("y.same").alias("sb")).distinct()
 
     pairs = close(people, "middle", 3).where(_agree(F.col("sa"), F.col("sb")))
+    pairs = pairs.join(borne.withColumnsRenamed({"token": "ta", "df": "da"}), "ta").join(borne.withColumnsRenamed({"token": "tb", "df": "db"}), "tb").withColumn("score", edit_score(*(F.col(x) for x in ("ta", "tb", "da", "db")))).where(F.col("score") >= LEAST_SCORE).select("a", "b", "score")
     group_people = group.groupBy("person", "form").agg(F.first("tokens").alias("tokens"))
-    pairs = cut(pairs.unionByName(close(group_people, "form", 0).where("sa = sb")))
+    pairs = cut(pairs.unionByName(close(group_people, "form", 0).where("sa = sb").select("a", "b", F.lit(1.0).alias("score"))))
     links = pairs.select("a", "b")
+    edited = pairs.select(F.explode(F.array("a", "b")).alias("person"), "score").groupBy("person").agg(F.max("score").alias("edit"))
     classes = connected_components(links).select(F.col("node").alias("person"), "component")
     person_class = lambda df: df.join(classes, "person", "left").withColumn("person", F.coalesce("component", "person")).drop("component")
     # abbreviations of every person: the known given tokens, else each token, and all but each, in turn
@@ -215,15 +234,47 @@ def link_names(names: DataFrame) -> DataFrame:
     )
     meant = meant.unionByName(near)
     alone = F.concat_ws("|", F.lit("s"), "family", F.when(F.col("_n") > 1, F.concat_ws("|", "initials", "name")).otherwise(F.substring("initials", 1, 1)))
-    short_person = short.join(meant, ["family", "initials"], "left").select("name", F.when(F.col("_n") == 1, F.col("person")).otherwise(alone).alias("person"))
-
-    return person_class(full.select("name", "person").unionByName(group.select("name", "person"))).unionByName(short_person)
+    # people expected to have a family's initials by chance: of those with the family name, the share with the first letter
+    kin = forms.select("family", "person").distinct().groupBy("family").agg(F.count(F.lit(1)).alias("kin"))
+    letters_of = forms.select(F.substring("full_initials", 1, 1).alias("letter"), "person").distinct().groupBy("letter").agg(F.count(F.lit(1)).alias("_l"))
+    everyone_once = forms.agg(F.greatest(F.countDistinct("person"), F.lit(1)).alias("n"))
+    by_letter = letters_of.select("letter", (F.col("_l") / everyone_once.scalar()).alias("share"))  # a row for each letter
+    short_person = (
+        short.join(meant, ["family", "initials"], "left").join(kin, "family", "left").withColumn("letter", F.substring("initials", 1, 1)).join(F.broadcast(by_letter), "letter", "left")
+        .select("name", F.when(F.col("_n") == 1, F.col("person")).otherwise(alone).alias("person"), F.when(F.col("_n") == 1, "initials").otherwise("alone").alias("rule"),
+                F.when(F.col("_n") > 1, 1 / F.col("_n")).otherwise(1 / (1 + F.greatest(F.coalesce("kin", F.lit(1)) - 1, F.lit(0)) * F.coalesce("share", F.lit(1.0)))).alias("score"))
+    )
+    # people expected to have a full name by chance: of all, the product of its words' shares
+    chance = people.select("person", F.explode("tokens").alias("token")).join(borne, "token").groupBy("person").agg(F.sum(F.log(F.col("df") / everyone.scalar())).alias("_log"))
+    rarity = chance.select("person", (1 / (1 + F.exp(F.col("_log")) * everyone.scalar())).alias("rarity"))
+    named = full.select("name", "person").join(rarity, "person", "left").unionByName(group.select("name", "person").withColumn("rarity", F.lit(1.0))).join(edited, "person", "left")
+    named = named.select("name", "person", F.when(F.col("edit").isNotNull(), "edit").otherwise("full").alias("rule"), (F.coalesce("rarity", F.lit(1.0)) * F.coalesce("edit", F.lit(1.0))).alias("score"))
+    return person_class(named).select("name", "person", "rule", F.round("score", 4).alias("score")).unionByName(short_person.withColumn("score", F.round("score", 4)))
+
+
+def edit_score(a: Column, b: Column, da: Column, db: Column) -> Column:
+    """How rare the rarer of two words one letter apart is, beside what slips of the other would give: 1 / the bearers
+    that slips don't explain. Words that differ by a vowel at the end alone are two names unless the one is
+    established and the other is borne by one."""
+    rarer, commoner = F.least(da, db), F.greatest(da, db)
+    shorter, longer = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
+    stem = F.when(F.length(a) == F.length(b), F.substring(shorter, F.lit(1), F.length(shorter) - 1)).otherwise(shorter)
+    ends = longer.startswith(stem) & F.substring(longer, -1, 1).isin(*ENDINGS) & ((F.length(a) != F.length(b)) | F.substring(shorter, -1, 1).isin(*ENDINGS))
+    plain = 1 / F.greatest(F.lit(1.0), rarer - SLIP_SHARE * commoner)
+    return F.when(ends & ~((rarer == 1) & (commoner >= ESTABLISHED)), plain / 4).otherwise(plain)
 
 
 def fits_initials(short: str, long: str, has_middle: str) -> Column:
     return (F.substring(short, 1, 1) == F.substring(long, 1, 1)) & (F.col(long).startswith(F.col(short)) | (~F.col(has_middle) & F.col(short).startswith(F.col(long))))
 
 
+def with_links(linked: DataFrame) -> DataFrame:
+    """linked with `links`, the number of the class's other spellings: one row for each spelling, whatever the
+    class's size."""
+    sizes = linked.groupBy("person").agg(F.count(F.lit(1)).alias("_n"))
+    return linked.join(sizes, "person").withColumn("links", F.col("_n") - 1).select("name", "person", "rule", "score", "links")
+
+
 def name_pairs(linked: DataFrame) -> DataFrame:
     """name_lo, name_hi of the different spellings of one person; a person's spellings are few, however many
     rows use them."""

@@ -25,11 +25,15 @@ def p1_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return names.name_pairs(p2_names(spark, folder))
+    return names.name_pairs(_linked(spark, folder))
 
 
 def p2_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Every spelling with its class."""
+    """Every spelling with its class, the rule and score that tie it to the class, and its links."""
+    return names.with_links(_linked(spark, folder))
+
+
+def _linked(spark: SparkSession, folder: str) -> DataFrame:
     return names.link_names(names.spellings(*(table(spark, folder, f"{x}_results") for x in ("openalex", "pubmed", "zotero"))))
 
 

@@ -78,10 +78,52 @@ def test_true_large_counts_stay_however_often_retrieved(spark):
 
 
 def test_an_abstract_vouches_for_a_pair_of_other_authors(spark):
-    grams = lambda x: matching.pack_bits(matching.qgrams(x.split()))
-    said = matching.pack_bits(f"shingle {k}" for k in range(40))
     titles = ["causal forests for early flood warning in deltas", "causal forest for early flood warning in deltas"]
-    rows = [(k + 1, k + 1, t, grams(t), grams(n), s, None, None, None) for k, (t, n, s) in enumerate(zip(titles, ["the delta study group", "müller quispe okafor zhang"], [said, said]))]
-    spelt = spark.createDataFrame(rows, "pid long, src int, plain string, vector array<long>, name_vector array<long>, said array<long>, doi string, arxiv string, pmid string")
-    assert [tuple(r) for r in matching.candidate_pairs(spelt).collect()] == [(1, 2)]
-    assert matching.candidate_pairs(spelt.withColumn("said", spelt["name_vector"])).collect() == []
+    row = lambda k, title, who, marks: (k, k, title, title.split(), who.split(), k, 1, marks, None, None, None)
+    schema = "pid long, src int, plain string, terms array<string>, names array<string>, vid long, title_ents long, marks array<long>, doi string, arxiv string, pmid string"
+    who = ["the delta study group", "müller quispe okafor zhang"]
+    for marks, want in ([5, 6], [(1, 2)]), ([8, 9], []):
+        spelt = spark.createDataFrame([row(1, titles[0], who[0], [5, 7]), row(2, titles[1], who[1], marks)], schema).withColumn("vector", matching.bit_vector(matching.F.col("terms")))
+        assert [tuple(r) for r in matching.candidate_pairs(spelt)[0].collect()] == want
+
+
+@pytest.mark.parametrize("text", ["Lorem ipsum", "<INSERT NAME>", "{{ customer_relationship_management_account_owner_name }}", "{" + "name" * 30 + "}", "<fault>" + "x" * 900 + "</fault>", "408 Request Time-out", "Connection reset by peer", "Le service est surchargé", "Wait 30 seconds and reload.", "Insert your own words in this box.", "Here is more text, then text, then text.", "As undefined argue, the result holds."])
+def test_residue_of_any_length_and_wording(text):
+    assert residue.inspect(text) is not None
+
+
+@pytest.mark.parametrize("text", ["We return to the previous section later.", "The text of the notes is short.", "A value of `undefined` in column 3 is treated as missing.", "Its authors wait 30 seconds and reload the cell.", "The set {12} of $x_{ij}$ is used.", "# Heading\n\n[[note_key]] and [1, 2]"])
+def test_texts_about_such_things_are_none(text):
+    assert residue.inspect(text) is None
+
+
+def test_pieces_end_within_the_limit_at_the_longest_boundary(spark):
+    from quillspark.llm import splitting
+
+    text = ("x" * 700 + "\r\n  \r\n    ") * 40
+    rows = spark.createDataFrame([(1, text), (2, ""), (3, None)], "k int, t string")
+    got = splitting.split_texts(rows, "t").orderBy("piece").collect()
+    assert {r["k"] for r in got} == {1} and all(r["piece_tokens"] <= 2048 and len(r["piece_text"]) <= 2048 * 4 + 3 for r in got)
+    assert "".join(r["piece_text"][r["core_start"] - r["piece_start"] :] for r in got) == text
+
+
+def test_gaps_are_filled_from_the_index():
+    import itertools
+
+    from quillspark.llm.packing import SumIndex
+
+    rng = random.Random(9)
+    for _ in range(60):
+        counts = {rng.randrange(1, 41): rng.randrange(1, 3) for _ in range(rng.randrange(1, 9))}
+        index = SumIndex(counts, 40)
+        for size in list(counts):
+            if rng.random() < 0.3:
+                index.add(size, -1)
+                counts[size] -= 1
+        items = [s for s, n in counts.items() for _ in range(min(n, 3))]
+        sums = {k: {sum(c) for c in itertools.combinations(items, k)} for k in (1, 2, 3)}
+        for gap in range(1, 41):
+            fill = index.fill(gap)
+            least = next((k for k in (1, 2, 3) if gap in sums[k]), None)
+            assert (fill is None) == (least is None) and (fill is None or (len(fill) == least and sum(fill) == gap))
+        assert [int(x) for x in index.pairs[:41]] == [sum(1 for a in range(1, 41) for b in range(a, 41) if a + b == t and counts.get(a, 0) > 0 and counts.get(b, 0) > (a == b)) for t in range(41)]
