@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import operator
 from collections.abc import Iterator
 
 import pandas as pd
@@ -134,6 +135,8 @@ ORDER = regex.compile(
     r"(?:wait|try again|come back|check back)\b[^.!?\n]{0,30}?\b(?:reload|refresh|later|seconds?|minutes?|soon)\b(?! (?:of|for|in|than)\b)|too many requests (?:from|by)\b|replace this\b[^.!?\n]{0,40}\b(?:text|words|paragraph|sentence|content)\b)",
     regex.I,
 )
+#: What stands in place of content where a sentence begins, by kind, in one pattern.
+SAID = regex.compile("|".join(f"(?P<{k}>{p.pattern})" for k, p in (("filler", FILLER), ("notice", NOTICE), ("error", ERROR), ("order", ORDER))), regex.I)
 #: Words that fill a place; a short sentence of which one makes up a large part says nothing.
 EMPTY_WORDS = frozenset("text here words word content note heading paragraph sentence title texte texto".split())
 #: A line with one of these reports on messages; it isn't one.
@@ -205,21 +208,26 @@ def _field(line: str, fields: list[tuple[str, int, int]], missing: bool) -> str
     return None
 
 
-def _lorem(line: str) -> bool:
-    plain = line.lower()
+def _unmarked(lower: str) -> str:
     for mark in ".,;:!?":
-        plain = plain.replace(mark, "")
-    some = plain.split()  # has no fewer known words, and is faster to count
-    if sum(map(TYPED.__contains__, some)) < 5:
-        return False
+        lower = lower.replace(mark, "")
+    return lower
+
+
+def _typed(bare: str) -> bool:
+    """Whether a line without marks has five known words: it has no fewer of them than the line as _lorem reads it."""
+    return sum(map(TYPED.__contains__, bare.split())) >= 5
+
+
+def _lorem(line: str) -> bool:
     words = [w.strip(".,;:!?").lower() for w in line.split()]
     return any(known >= 5 and known >= 0.6 * len(words) for known in (sum(w in LOREM for w in words), sum(w in MASH for w in words)))
 
 
-def _hollow(line: str) -> bool:
-    """Whether a sentence of a line is mostly one empty word: three times at least, a quarter of its words."""
+def _hollow(line: str, words: list[str]) -> bool:
+    """Whether a sentence of a line is mostly one of some empty words: three times at least, a quarter of its words."""
     low = line.lower()
-    for word in EMPTY_WORDS:
+    for word in words:
         if low.count(word) < 3:
             continue
         for sentence in regex.split(r"(?<=[.!?])\s+", low):
@@ -246,7 +254,9 @@ def inspect(text: str | None) -> tuple[str, str] | None:
     lower = text.lower()
     if len(lower) != len(text):  # a few capitals have longer lower forms; offsets must hold
         lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    stutter = STUTTER.search(lower)
+    # a word seven times over has equal neighbours between its separators
+    spaced = lower.replace(",", " ").replace(".", " ").split()
+    stutter = STUTTER.search(lower) if "xxx" in lower or any(map(operator.eq, spaced, spaced[1:])) else None
     repeated = _repeated(text)
     masked = _masked(text)
     hits = sorted((end + 1 - len(word), word) for end, word in _automaton().iter(lower))
@@ -256,10 +266,12 @@ def inspect(text: str | None) -> tuple[str, str] | None:
         return "filler", stutter[0][:80]
     if repeated:
         return "filler", repeated[:80]
-    if m := FAULT.search(masked):
+    if ("<fault>" in lower or "<error>" in lower) and (m := FAULT.search(masked)):
         return "error", m[0][:80]
     end = -1
-    for line in regex.split(r"[\r\n]", masked):
+    empty = [w for w in EMPTY_WORDS if lower.count(w) >= 3]
+    unmarked = regex.split(r"[\r\n]", _unmarked(masked.lower()))
+    for number, line in enumerate(regex.split(r"[\r\n]", masked)):
         start, end = end + 1, end + 1 + len(line)
         if not line.strip():
             continue
@@ -268,18 +280,18 @@ def inspect(text: str | None) -> tuple[str, str] | None:
         if (inside or missing) and (field := _field(line, inside, missing)):
             return "placeholder", f"{field}: {line.strip()[:80]}"
         plain = TAGS.sub(lambda m: " " * len(m[0]), line) if "<" in line else line
-        if _lorem(plain):
+        if _typed(_unmarked(plain.lower()) if plain is not line else unmarked[number]) and _lorem(plain):
             return "filler", plain.strip()[:80]
-        if _hollow(plain):
+        if empty and _hollow(plain, empty):
             return "filler", plain.strip()[:80]
         for at in (0, *(m.end() for m in SENTENCE.finditer(plain))):
             while at < len(plain) and plain[at] not in "{<" and not plain[at].isalnum():
                 if plain[at] in "\"“”„`'":
                     at = len(plain)  # quoted: the sentence speaks of it
                 at += 1
-            for kind, pattern in (("filler", FILLER), ("notice", NOTICE), ("error", ERROR), ("error", LOGGED), ("notice", ORDER)):
-                if pattern.match(plain, at) and not REPORTS.search(_sentence(plain, at, at)):
-                    return kind, plain[at : at + 80]
+            m = SAID.match(plain, at) or (LOGGED.match(plain, at) if "=" in plain else None)
+            if m and not REPORTS.search(_sentence(plain, at, at)):
+                return {"order": "notice", None: "error"}.get(m.lastgroup, m.lastgroup), plain[at : at + 80]
     return None
 
 
