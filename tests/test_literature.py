@@ -126,3 +126,15 @@ def test_best_items_by_brute_force(spark):
     shape = "doi string, arxiv string, title string, year string"
     got = {r["note_id"]: (r["item_id"], r["score"]) for r in merging.best_items(spark.createDataFrame(a, f"note_id long, {shape}"), spark.createDataFrame(b, f"item_id long, {shape}")).collect()}
     assert got == want
+
+
+def test_best_items_compares_kinds_once_and_gathers_nothing(spark):
+    """Repeated records all get the least item of equals; runs of titles are never broadcast, however small they seem."""
+    shape = "doi string, arxiv string, title string, year string"
+    kinds = [(None, None, "deep trees for slow rivers", None), ("10.1000/a", None, "on deep trees for slow rivers and lakes", "2020"), (None, None, None, None)]
+    notes = spark.createDataFrame([(k, *kinds[k % 3]) for k in range(30)], f"note_id long, {shape}")
+    items = spark.createDataFrame([(k, *kinds[(k + 1) % 3]) for k in range(10, 40)], f"item_id long, {shape}")
+    best = merging.best_items(notes, items)
+    least = {0: (11, 30), 1: (12, 135)}  # the least items with the first and the second kind of fields
+    assert {r["note_id"]: (r["item_id"], r["score"]) for r in best.collect()} == {k: least[k % 3] for k in range(30) if k % 3 < 2}
+    assert "Broadcast" not in best._jdf.queryExecution().executedPlan().toString()
