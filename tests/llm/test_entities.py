@@ -191,3 +191,17 @@ def test_consensus_votes_and_cut_values():
     full = "a b c d e f g".split()
     assert survivor.consensus_tokens([(full, 1.0), (full[:4], 1.0), ("a b x d e f g".split(), 0.5)]) == full
     assert survivor.agreement(full[:4], full) == 1.0 and survivor.agreement(["q"], full) == 0.0 and survivor.agreement([], full) == 0.0
+
+
+def test_every_pair_that_meets_the_threshold_is_linked(spark):
+    """Names that overlap without a common start, and an excerpt of an abstract that shares neither its start nor its
+    least shingles."""
+    said = [f"word{k * 7919 % 997}" for k in range(90)]
+    abstract = " ".join(said)
+    marks = lambda text: set(spark.range(1).select(matching.shingle_vector(matching.F.lit(text))["marks"]).first()[0])
+    excerpt = next(x for x in (" ".join(said[k : k + 12]) for k in range(5, 75)) if not marks(x) & marks(abstract))
+    openalex = spark.createDataFrame([oa(1, 10, TITLES[0], ["Bujjidonquist", "Jonathan"], 2020), (*oa(2, 11, TITLES[1], ["Cy Moss"], 2019)[:7], abstract, 1, None, T(2024, 1, 1), "clash")], RESULTS["openalex"])
+    arxiv = spark.createDataFrame([(101, "http://arxiv.example/abs/2001.00001v1", TITLES[0] + ".", ["Bujidonquist", "Jon"], None, "2020-01-01", None, None)], RESULTS["arxiv"])
+    web = spark.createDataFrame([(301, TITLES[1], ["Study Group"], 2019, excerpt, "https://shelf.example/1"), (302, TITLES[1], ["Other Writers"], 2019, None, "https://shelf.example/2")], RESULTS["web"])
+    rows, _, classes = matching.match_works(openalex, arxiv, spark.createDataFrame([], RESULTS["pubmed"]), web)
+    assert {(r["rec_lo"], r["rec_hi"]) for r in matching.work_pairs(rows, classes).collect()} == {(1, 101), (2, 301)}
