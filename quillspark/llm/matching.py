@@ -244,10 +244,9 @@ def profiles(openalex: DataFrame, arxiv: DataFrame, pubmed: DataFrame, web: Data
     names = F.coalesce(F.array_sort(F.array_distinct(F.filter(names, lambda w: F.length(w) > 2))), F.array().cast("array<string>"))
     prepared = rows.select("src", "ent", plain.alias("plain"), terms.alias("terms"), names.alias("names"), "year", "doi", "arxiv", "pmid", shingle_vector(F.col("abstract")).alias("said"))
     spelt = prepared.groupBy("src", "ent", "plain", "terms").agg(
-        F.max_by("names", F.size("names")).alias("names"), F.min("year").alias("year_from"), F.max("year").alias("year_to"), *(F.max(x).alias(x) for x in ("doi", "arxiv", "pmid")), F.max_by("said.bits", "said.n").alias("said"), F.max_by("said.marks", "said.n").alias("marks")
+        F.max_by("names", F.size("names")).alias("names"), F.min("year").alias("year_from"), F.max("year").alias("year_to"), *(F.max(x).alias(x) for x in ("doi", "arxiv", "pmid")), F.max_by("said.bits", "said.n").alias("said")
     )
-    shared = spelt.groupBy("src", "terms").agg(F.countDistinct("ent").alias("title_ents"))
-    spelt = spelt.join(shared, ["src", "terms"]).withColumn("pid", F.xxhash64("ent", "plain")).withColumn("vid", F.xxhash64("terms")).withColumn("vector", bit_vector(F.col("terms"))).withColumn("name_vector", bit_vector(F.col("names")))
+    spelt = spelt.withColumn("pid", F.xxhash64("ent", "plain")).withColumn("vid", F.xxhash64("terms")).withColumn("n_names", F.size("names")).withColumn("vector", bit_vector(F.col("terms"))).withColumn("name_vector", bit_vector(F.col("names"))).drop("names")
     return rows.select("rec_id", "src", "ent"), spelt
 
 
@@ -372,6 +371,8 @@ def candidate_pairs(spelt: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 IDS = ["doi", "arxiv", "pmid"]
+#: src of the open index, arXiv, PubMed and the web.
+SOURCES = (1, 2, 3, 4)
 FEATURES = ["title_dice", "title_overlap", "names_overlap", "names_missing", "year_agrees", "year_missing", "said_overlap", "said_missing"]
 #: Least overlap of names, of abstracts that vouch for a pair, and of titles that share an identifier.
 LEAST_NAMES, LEAST_SAID, LEAST_ALIKE = 0.5, 0.7, 0.5
@@ -384,10 +385,13 @@ def scored_pairs(spelt: DataFrame, links: DataFrame) -> DataFrame:
 
     What is compared travels with a profile and is judged where two meet, so that only scores leave the joins: not even
     a title of very many works gives more rows than pairs that may be works. Each pair comes once: by its first
-    identifier, else by its titles.
+    identifier, else by its titles. Both sides of a join have the same columns, so that one shuffle serves both.
     """
     cols = ["pid", "ent", "src", "vid", "n_terms", "n_names", "year_from", "year_to", *IDS, "vector", "n", "name_vector", "name_n", "said", "said_n", "title_ents"]
-    rows = spelt.select("*", F.size("terms").alias("n_terms"), F.size("names").alias("n_names"), ones(F.col("vector")).alias("n"), ones(F.col("name_vector")).alias("name_n"), ones(F.col("said")).alias("said_n")).select(cols)
+    rows = spelt.select("*", F.size("terms").alias("n_terms"), ones(F.col("vector")).alias("n"), ones(F.col("name_vector")).alias("name_n"), ones(F.col("said")).alias("said_n"))
+    # the entities of each source that have a title
+    ents = spelt.select("vid", "src", "ent").distinct().groupBy("vid").agg(*(F.count(F.when(F.col("src") == k, 1)).alias(f"_ents_{k}") for k in SOURCES))
+    rows = rows.join(ents, "vid").withColumn("title_ents", F.element_at(F.array(*(f"_ents_{k}" for k in SOURCES)), F.col("src"))).select(cols)
     side = lambda df, x: df.select(*(F.col(c).alias(f"{c}_{x}") for c in df.columns))
     a, b = (lambda f: F.col(f"{f}_a")), (lambda f: F.col(f"{f}_b"))
     of = lambda score, vector, n: score(a(vector), b(vector), a(n), b(n))
@@ -413,7 +417,7 @@ def scored_pairs(spelt: DataFrame, links: DataFrame) -> DataFrame:
         nameless.cast("double").alias("names_missing"), F.coalesce((gap <= 1).cast("double"), F.lit(0.0)).alias("year_agrees"), gap.isNull().cast("double").alias("year_missing"),
         said_overlap.alias("said_overlap"), F.coalesce(~said_of_both, F.lit(True)).cast("double").alias("said_missing"),
         functools.reduce(lambda x, y: x + y, [x.cast("int") for x in same]).alias("ids_same"), functools.reduce(lambda x, y: x + y, [x.cast("int") for x in differ]).alias("ids_differ"),
-        ((a("title_ents") == 1) & (b("title_ents") == 1) & (a("n_terms") >= 5)).alias("title_is_own"),
+        ((a("title_ents") == 1) & (b("title_ents") == 1) & (ahead("n_terms", a, b) >= 5)).alias("title_is_own"),
     ]
     return titled.select(scores).union(named.select(scores))
 

@@ -205,3 +205,22 @@ def test_every_pair_that_meets_the_threshold_is_linked(spark):
     web = spark.createDataFrame([(301, TITLES[1], ["Study Group"], 2019, excerpt, "https://shelf.example/1"), (302, TITLES[1], ["Other Writers"], 2019, None, "https://shelf.example/2")], RESULTS["web"])
     rows, _, classes = matching.match_works(openalex, arxiv, spark.createDataFrame([], RESULTS["pubmed"]), web)
     assert {(r["rec_lo"], r["rec_hi"]) for r in matching.work_pairs(rows, classes).collect()} == {(1, 101), (2, 301)}
+
+
+def test_profiles_read_the_records_once(works):
+    """Counting the entities of a title is no second pass over the records."""
+    read = lambda df: len([x for x in df._jdf.queryExecution().analyzed().toString().split("\n") if "LogicalRDD" in x or "LocalRelation" in x])
+    rows, spelt = matching.profiles(*works)
+    assert 0 < read(spelt) <= read(rows)
+
+
+def test_a_title_is_its_works_own_in_each_source(spark):
+    """What stands for missing authors: a title of one entity of each source, of five words in the earlier source."""
+    vid = iter(range(100, 200))
+    of = lambda pid, src, n, v, others=None: (pid, pid, src, v, "x", [f"w{k}" for k in range(n)], 0, 2020, 2020, others, None, None, matching.pack_bits(["a", "b"]), matching.pack_bits([]), matching.pack_bits([]))
+    v = [next(vid) for _ in range(4)]
+    rows = [of(1, 1, 5, v[1]), of(2, 2, 4, v[0]), of(3, 1, 5, v[2]), of(4, 1, 5, v[2]), of(5, 2, 5, v[3])]
+    spelt = spark.createDataFrame(rows, "pid long, ent long, src int, vid long, plain string, terms array<string>, n_names int, year_from int, year_to int, doi string, arxiv string, pmid string, vector array<long>, name_vector array<long>, said array<long>")
+    links = spark.createDataFrame([(v[0], v[1]), (v[2], v[3])], "vid_a long, vid_b long")
+    got = {(r["pid_a"], r["pid_b"]): r["title_is_own"] for r in matching.scored_pairs(spelt, links).collect()}
+    assert got == {(1, 2): True, (3, 5): False, (4, 5): False}
